@@ -70,3 +70,14 @@ def labels(custom: Column) -> Column:
 def percent(part: Column, total: Column) -> Column:
     """Share in percent; 0 when there is nothing to share."""
     return F.when(total > 0, F.lit(100.0) * part / total).otherwise(F.lit(0.0))
+
+
+def computed_once(df: DataFrame, **values: Column) -> DataFrame:
+    """``df`` with the given columns, each evaluated once per row.
+
+    Spark moves filters below a projection and then repeats the projected expression at
+    every place that uses it, which for JSON parsing means parsing many times.  It moves
+    nothing below a generator, so the values pass through one of a single element.
+    """
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    return df.select("*", F.inline(F.array(row)))

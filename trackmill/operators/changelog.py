@@ -6,9 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackmill.functions.instants import Instant, instant, parse_instant
+from trackmill.functions.projections import computed_once
 from trackmill.functions.text import string_or_null
 
-_ARRAY = "array<variant>"
+# Members stay VARIANT, so that text can be told from other JSON types, and an entry is
+# parsed by itself, so that a malformed one spoils no other.
+_HISTORIES = "histories array<string>"
+_ENTRY = """
+    id variant, created variant, author variant,
+    items array<struct<field variant, fieldId variant, `from` variant, `to` variant,
+                       fromString variant, toString variant>>
+"""
 
 HISTORY_COLUMNS = (
     "issue_id", "issue_key", "change_id", "change_timestamp", "author_account_id",
@@ -17,43 +25,39 @@ HISTORY_COLUMNS = (
 )
 
 
-def _member(value: str, name: str, kind: str = "variant") -> Column:
-    return F.try_variant_get(F.col(value), f"$.{name}", kind)
-
-
 def _text(value: str, name: str) -> Column:
-    return string_or_null(_member(value, name))
+    return string_or_null(F.try_variant_get(F.col(value), f"$.{name}", "variant"))
 
 
 def _entries(issues: DataFrame, changelog: str) -> DataFrame:
     """One row per history entry, or one without an entry when there are none to read."""
-    document = issues.select(
-        "issue_id", "issue_key", F.try_parse_json(F.col(changelog)).alias("_document")
-    )
-    histories = document.withColumn("_histories", _member("_document", "histories", _ARRAY))
-    entries = histories.select(
+    histories = F.from_json(F.col(changelog), _HISTORIES)["histories"]
+    documents = computed_once(issues.select("issue_id", "issue_key", changelog), _histories=histories)
+    entries = documents.select(
         "issue_id", "issue_key", F.col("_histories").isNull().alias("_no_histories"),
-        F.posexplode_outer("_histories").alias("history_pos", "_entry"),
+        F.posexplode_outer("_histories").alias("history_pos", "_text"),
     )
-    return entries.select(
+    parsed = computed_once(entries, _entry=F.from_json("_text", _ENTRY)).select(
         "issue_id", "issue_key", "history_pos", "_no_histories",
-        _text("_entry", "id").alias("change_id"),
-        _text("_entry", "created").alias("_created"),
-        _member("_entry", "author").alias("_author"),
-        _member("_entry", "items", _ARRAY).alias("_items"),
-    ).select(
-        "*",
-        parse_instant(F.col("_created")).alias("change_timestamp"),
-        _text("_author", "accountId").alias("author_account_id"),
-        _text("_author", "displayName").alias("author_display_name"),
-        _text("_author", "emailAddress").alias("author_email"),
+        F.col("_entry.author").alias("_author"), F.col("_entry.items").alias("_items"),
+        F.col("_entry.id").alias("_id"), F.col("_entry.created").alias("_time"),
     )
+    texts = computed_once(
+        parsed,
+        change_id=string_or_null(F.col("_id")),
+        _created=string_or_null(F.col("_time")),
+        author_account_id=_text("_author", "accountId"),
+        author_display_name=_text("_author", "displayName"),
+        author_email=_text("_author", "emailAddress"),
+    )
+    return computed_once(texts, change_timestamp=parse_instant(F.col("_created")))
 
 
 def _violation() -> Column:
     """Why an entry cannot be used; null when it can."""
-    named = F.forall("_items", lambda item: string_or_null(
-        F.try_variant_get(item, "$.field", "variant")).isNotNull())
+    named = F.forall(
+        "_items", lambda item: F.coalesce(F.schema_of_variant(item["field"]), F.lit("")) == "STRING"
+    )
     author_broken = F.col("_author").isNotNull() & (
         F.col("author_account_id").isNull() | F.col("author_display_name").isNull()
     )
@@ -92,14 +96,18 @@ def parse_changelog(
     else:
         valid = judged.where(F.col("violation").isNull())
     items = valid.select("*", F.posexplode("_items").alias("item_pos", "_item"))
+
+    def text(name: str) -> Column:
+        return string_or_null(F.col("_item").getField(name))
+
     return items.select(
         "*",
-        _text("_item", "field").alias("field_name"),
-        _text("_item", "fieldId").alias("field_id"),
-        _text("_item", "from").alias("from_value"),
-        _text("_item", "to").alias("to_value"),
-        _text("_item", "fromString").alias("from_display_value"),
-        _text("_item", "toString").alias("to_display_value"),
+        text("field").alias("field_name"),
+        text("fieldId").alias("field_id"),
+        text("from").alias("from_value"),
+        text("to").alias("to_value"),
+        text("fromString").alias("from_display_value"),
+        text("toString").alias("to_display_value"),
     ).select(*HISTORY_COLUMNS)
 
 

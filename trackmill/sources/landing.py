@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from trackmill.functions.instants import parse_instant
-from trackmill.functions.projections import custom_fields, labels
+from trackmill.functions.projections import computed_once, custom_fields, labels
 from trackmill.functions.text import any_column_contains
 from trackmill.schemas import DIMENSIONS, ISSUE_DOCUMENT, PAGE
 
@@ -102,7 +102,7 @@ def _required(struct: StructType, prefix: str, present: Column | None = None) ->
 def _parsed(documents: DataFrame) -> DataFrame:
     with_corrupt = StructType([*ISSUE_DOCUMENT.fields, StructField(_CORRUPT, StringType())])
     doc = F.from_json("raw_json", with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT})
-    parsed = documents.withColumn("_doc", doc)
+    parsed = computed_once(documents.select("raw_json"), _doc=doc)
     for name in ("created", "updated"):
         parsed = parsed.withColumn(f"_{name}", parse_instant(F.col(f"_doc.fields.{name}")))
     absent = [F.when(test, path.removeprefix("_doc.")) for path, test in _required(ISSUE_DOCUMENT, "_doc")]
@@ -158,7 +158,7 @@ def flatten_issues(documents: DataFrame) -> DataFrame:
 def with_custom_fields(issues: DataFrame) -> DataFrame:
     """Issues with ``custom_fields`` and ``labels`` read out of ``raw_json``."""
     extra = custom_fields(F.get_json_object("raw_json", "$.fields"))
-    return issues.withColumn("custom_fields", extra).withColumn("labels", labels(F.col("custom_fields")))
+    return computed_once(issues, custom_fields=extra).withColumn("labels", labels(F.col("custom_fields")))
 
 
 def changelogs(issues: DataFrame) -> DataFrame:

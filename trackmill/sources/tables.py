@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from trackmill.operators.grouping import last_wins
 from trackmill.operators.stats import storage_stats
 
+MONTH = "change_month"
 NATURAL_HISTORY_KEY = ("issue_id", "change_id", "item_pos")
 
 
@@ -56,33 +57,33 @@ def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> in
     return seen.get["rows"]
 
 
-def with_dates(df: DataFrame, timestamp: str, name: str) -> DataFrame:
-    return df.withColumn(name, F.to_date(timestamp))
+def with_month(history: DataFrame) -> DataFrame:
+    """History with the month it is partitioned by."""
+    return history.withColumn(MONTH, F.to_date(F.date_trunc("month", "change_timestamp")))
 
 
 def append_history(history: DataFrame, path: str, only_new: bool = True) -> int:
-    """Append changes to the history table, partitioned by change date.
+    """Append changes to the history table, partitioned by month of change.
 
     With ``only_new`` a change already stored is not stored again, so a repeated run adds
-    nothing.  Only the dates that the new rows span are read back to tell.
+    nothing.  Only the months that the new rows span are read back to tell.
     """
-    dated = with_dates(history, "change_timestamp", "change_date")
+    dated = with_month(history)
     stored = table_or_none(history.sparkSession, path) if only_new else None
     if only_new:
         dated = last_wins(dated, list(NATURAL_HISTORY_KEY), [F.col("change_timestamp").desc()])
     if stored is not None:
-        first = dated.agg(F.min("change_date")).scalar()
-        last = dated.agg(F.max("change_date")).scalar()
-        seen_keys = stored.where(F.col("change_date").between(first, last)).select(*NATURAL_HISTORY_KEY)
+        first, last = dated.agg(F.min(MONTH)).scalar(), dated.agg(F.max(MONTH)).scalar()
+        seen_keys = stored.where(F.col(MONTH).between(first, last)).select(*NATURAL_HISTORY_KEY)
         dated = dated.join(seen_keys, list(NATURAL_HISTORY_KEY), "left_anti")
-    # Rebalancing gathers each date into few files and still splits a heavy date.
-    rows, seen = _counted(dated.hint("rebalance", "change_date"), "append_history")
-    rows.write.mode("append").partitionBy("change_date").parquet(path)
+    # Rebalancing gathers each month into few files and still splits a heavy month.
+    rows, seen = _counted(dated.hint("rebalance", MONTH), "append_history")
+    rows.write.mode("append").partitionBy(MONTH).parquet(path)
     return seen.get["rows"]
 
 
 def overwrite_history(history: DataFrame, path: str) -> int:
-    return save_table(with_dates(history, "change_timestamp", "change_date"), path, ["change_date"])
+    return save_table(with_month(history).hint("rebalance", MONTH), path, [MONTH])
 
 
 def save_stats(issues: DataFrame, path: str) -> DataFrame:
