@@ -90,9 +90,11 @@ def parse_changelog(
         raise ValueError("mode is quarantine or strict")
     judged = _judged(issues, changelog)
     if mode == "strict":
-        complaint = F.concat_ws(": ", "issue_key", "violation")
-        failed = F.when(F.col("violation").isNotNull(), F.raise_error(complaint).cast("boolean"))
-        valid = judged.where(F.coalesce(failed, F.lit(True)))
+        # The items themselves raise: a separate filter could run after Spark has already
+        # dropped the entries that have none.
+        complaint = F.raise_error(F.concat_ws(": ", "issue_key", "violation"))
+        checked = F.when(F.col("violation").isNotNull(), complaint).otherwise(F.col("_items"))
+        valid = judged.withColumn("_items", checked)
     else:
         valid = judged.where(F.col("violation").isNull())
     items = valid.select("*", F.posexplode("_items").alias("item_pos", "_item"))

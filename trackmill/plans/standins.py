@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmill.session import durable
+from trackmill.sources.landing import spread_scan
 
 # Fixed reference times instead of the clock: end of the orders and of the events.
 ORDERS_AS_OF = "2001-08-01 00:00:00"
@@ -328,7 +329,11 @@ def changelog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_discount") > 0, F.struct(supplier.alias("accountId"), name.alias("displayName"))).alias("author"),
         items.alias("items"),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    )
+    return spread_scan(lines).select(
         F.col("l_orderkey").cast("string").alias("issue_id"),
         F.concat(F.lit("ORD-"), "l_orderkey").alias("issue_key"),
         F.to_json(F.struct(F.array(entry).alias("histories"))).alias("changelog"),

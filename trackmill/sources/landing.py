@@ -22,6 +22,16 @@ def _missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """``scan`` with at least as many partitions as there are cores.
+
+    Parsing JSON costs far more than moving its text, so a scan of a few large files that
+    do not split is dealt out first.  A scan with enough splits is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Search pages, one JSON document per line, or per file when ``multi_line``."""
     schema = StructType([*PAGE.fields, StructField(_CORRUPT, StringType())])
