@@ -15,10 +15,11 @@ T0 = datetime(2024, 6, 1)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "trackmill-tests", "local[4]", spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__driver__memory="4g", spark__sql__maxMetadataStringLength="100000",
     )
     session.sparkContext.setLogLevel("OFF")

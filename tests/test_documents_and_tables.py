@@ -167,6 +167,13 @@ def test_json_overwrite_and_compaction(spark, issues, tmp_path):
     assert tables.save_stats(issues, str(tmp_path / "stats")).where("metric = 'total'").collect()[0].n == 500
 
 
+def test_analyze(spark, issues):
+    issues.limit(10).write.mode("overwrite").saveAsTable("some_issues")
+    tables.analyze(spark, "some_issues")
+    details = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED some_issues").collect()}
+    assert "10 rows" in details["Statistics"]
+
+
 def test_change_table(spark, tmp_path):
     store = tables.ChangeTable(spark, str(tmp_path / "base"), str(tmp_path / "changes"))
     assert store.current() is None

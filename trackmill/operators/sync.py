@@ -11,6 +11,7 @@ from trackmill.functions.instants import Instant, elapsed_micros, instant
 from trackmill.operators.filters import TimeWindow
 from trackmill.operators.joins import classify, exclude_unchanged, hot_keys
 from trackmill.operators.upsert import upsert
+from trackmill.session import durable
 
 
 class SyncOutcome(NamedTuple):
@@ -29,8 +30,12 @@ def fetch_changes(source: DataFrame, known: DataFrame, window: TimeWindow) -> Da
 
 
 def incremental(source: DataFrame, known: DataFrame, since: Instant, as_of: Instant) -> SyncOutcome:
-    """Bring ``known`` up to ``source`` from the last successful run on."""
-    fetched = fetch_changes(source, known, TimeWindow.incremental_since(since, as_of))
+    """Bring ``known`` up to ``source`` from the last successful run on.
+
+    The fetched issues are few beside the table and used for every part of the outcome,
+    so they are checkpointed once and not worked out for each.
+    """
+    fetched = durable(fetch_changes(source, known, TimeWindow.incremental_since(since, as_of)))
     return SyncOutcome(fetched, merge(known, fetched), project_rollup(fetched, as_of))
 
 

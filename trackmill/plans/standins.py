@@ -37,10 +37,11 @@ flat_issues AS (
 """
 
 
-def flat_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flat_issues(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Issues as far as ``orders`` alone describes them."""
     price = F.col("o_totalprice")
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders")
+    return (spread_scan(orders) if spread else orders).select(
         F.col("o_orderkey").cast("string").alias("id"),
         "o_custkey",
         F.col("o_orderstatus").alias("status_name"),
@@ -62,7 +63,7 @@ owned_issues AS (
 """
 
 
-def owned_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+def owned_issues(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Issues with project and people, from ``orders`` and ``customer``.
 
     One segment stands for issues without a project, a negative balance for unassigned.
@@ -70,7 +71,7 @@ def owned_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "c_acctbal"
     )
-    return flat_issues(spark, sf_dir).join(customers, "o_custkey").select(
+    return flat_issues(spark, sf_dir, spread).join(customers, "o_custkey").select(
         "id",
         F.concat_ws("-", "c_mktsegment", "id").alias("issue_key"),
         F.concat(F.lit("Order "), "id", F.lit(" placed by "), "c_name").alias("summary"),
@@ -247,7 +248,8 @@ def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     An issue without any change has no ``updated`` and so does not parse.  Descriptions
     of open issues are rich text, the others plain.
     """
-    rows = owned_issues(spark, sf_dir).join(last_changes(spark, sf_dir), "id", "left")
+    issues = owned_issues(spark, sf_dir, spread=True)
+    rows = issues.join(last_changes(spark, sf_dir), "id", "left")
     updated = F.greatest("created", "changed")
     rows = rows.withColumn("updated", F.when(F.col("changed").isNotNull(), updated))
     name = F.col("reporter_display_name")

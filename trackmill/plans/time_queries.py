@@ -17,6 +17,7 @@ from trackmill.plans.standins import (
     RUNS_SQL,
     flat_issues,
     issues,
+    owned_issues,
     runs,
     table,
 )
@@ -59,7 +60,7 @@ def _known(spark, sf_dir):
     changed = before.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("changed")).select(
         F.col("l_orderkey").cast("string").alias("id"), "changed"
     )
-    earlier = issues(spark, sf_dir).where(F.col("created") <= instant(SINCE)).select(*STATE[:-1])
+    earlier = owned_issues(spark, sf_dir).where(F.col("created") <= instant(SINCE)).select(*STATE[:-1])
     joined = earlier.join(changed, "id", "left")
     return joined.withColumn("updated", F.greatest("created", F.coalesce("changed", "created"))).drop("changed")
 

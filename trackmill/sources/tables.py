@@ -88,7 +88,7 @@ def overwrite_history(history: DataFrame, path: str) -> int:
 
 def save_stats(issues: DataFrame, path: str) -> DataFrame:
     """Write the statistics beside the data and hand back the stored snapshot."""
-    storage_stats(issues).coalesce(1).write.mode("overwrite").parquet(path)
+    storage_stats(issues).write.mode("overwrite").parquet(path)
     return issues.sparkSession.read.parquet(path)
 
 
