@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from trackmill.functions.instants import Instant, as_utc, elapsed_micros, instant
 
@@ -28,6 +29,10 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     return found.select(F.transform(heavy, lambda item: item["item"]).alias("hot"))
 
 
+def _atomic_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -38,16 +43,19 @@ def spread_join(
 ) -> DataFrame:
     """Equi-join whose left side may have very frequent keys; ``right`` has each key once.
 
-    Left rows with a hot first key are dealt out over ``salts`` tasks by their source
-    partition and the matching right rows are copied to each of them.  All other keys get
-    salt 0.  ``how`` is inner, left, left_semi or left_anti.
+    Left rows with a hot first key are dealt out over ``salts`` tasks and the matching
+    right rows are copied to each of them.  All other keys get salt 0.  ``how`` is inner,
+    left, left_semi or left_anti.
     """
     key = keys[0]
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
     hot = hot_keys(left, key) if hot is None else hot
     is_hot = F.coalesce(F.array_contains(hot.scalar(), F.col(key)), F.lit(False))
-    dealt = F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
+    # Different rows part by their content, exact copies by the partition they come from;
+    # both stay the same when a task runs again.
+    content = F.xxhash64(F.spark_partition_id(), *_atomic_columns(left))
+    dealt = F.when(is_hot, F.pmod(content, F.lit(salts)).cast("int")).otherwise(F.lit(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_left = left.withColumn("_salt", dealt)
     salted_right = right.withColumn("_salt", F.explode(copies))

@@ -4,16 +4,22 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackmill.functions.instants import Instant, elapsed_micros, instant
 from trackmill.operators.filters import TimeWindow
+from trackmill.operators.grouping import last_wins
 from trackmill.operators.joins import classify, exclude_unchanged, hot_keys
 from trackmill.operators.upsert import upsert
 from trackmill.session import durable
 
 
+def _newest() -> list[Column]:
+    """Of several versions of an issue the latest counts."""
+    return [F.col("updated").desc(), F.col("issue_key")]
+
+
 class SyncOutcome(NamedTuple):
     """Fetched issues with their kind, the merged table, and counts per project."""
 
@@ -42,12 +48,12 @@ def incremental(source: DataFrame, known: DataFrame, since: Instant, as_of: Inst
 def full(source: DataFrame, known: DataFrame, as_of: Instant) -> SyncOutcome:
     """Reload everything: no time filter, and known issues that are gone are dropped."""
     fetched = classify(source, known)
-    merged = upsert(source.limit(0), fetched, "id", [F.col("updated").desc(), F.col("issue_key")])
+    merged = last_wins(source, ["id"], _newest())
     return SyncOutcome(fetched, merged, project_rollup(fetched, as_of))
 
 
 def merge(known: DataFrame, fetched: DataFrame) -> DataFrame:
-    return upsert(known, fetched, "id", [F.col("updated").desc(), F.col("issue_key")])
+    return upsert(known, fetched, "id", _newest())
 
 
 def project_rollup(

@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trackmill.operators.grouping import last_wins
 from trackmill.operators.stats import storage_stats
+from trackmill.operators.upsert import upsert
 
 MONTH = "change_month"
 NATURAL_HISTORY_KEY = ("issue_id", "change_id", "item_pos")
@@ -68,16 +69,16 @@ def append_history(history: DataFrame, path: str, only_new: bool = True) -> int:
     With ``only_new`` a change already stored is not stored again, so a repeated run adds
     nothing.  Only the months that the new rows span are read back to tell.
     """
-    dated = with_month(history)
+    rows = with_month(history)
     stored = table_or_none(history.sparkSession, path) if only_new else None
-    if only_new:
-        dated = last_wins(dated, list(NATURAL_HISTORY_KEY), [F.col("change_timestamp").desc()])
     if stored is not None:
-        first, last = dated.agg(F.min(MONTH)).scalar(), dated.agg(F.max(MONTH)).scalar()
+        first, last = rows.agg(F.min(MONTH)).scalar(), rows.agg(F.max(MONTH)).scalar()
         seen_keys = stored.where(F.col(MONTH).between(first, last)).select(*NATURAL_HISTORY_KEY)
-        dated = dated.join(seen_keys, list(NATURAL_HISTORY_KEY), "left_anti")
+        rows = rows.join(seen_keys, list(NATURAL_HISTORY_KEY), "left_anti")
+    if only_new:
+        rows = last_wins(rows, list(NATURAL_HISTORY_KEY), [F.col("change_timestamp").desc()])
     # Rebalancing gathers each month into few files and still splits a heavy month.
-    rows, seen = _counted(dated.hint("rebalance", MONTH), "append_history")
+    rows, seen = _counted(rows.hint("rebalance", MONTH), "append_history")
     rows.write.mode("append").partitionBy(MONTH).parquet(path)
     return seen.get["rows"]
 
@@ -126,22 +127,17 @@ class ChangeTable:
         rows = last_wins(batch, [self.key], [F.col(self.version).desc()])
         rows.write.mode("overwrite").parquet(f"{self.changes}/batch_id={batch_id}")
 
-    def _order(self) -> list[Column]:
-        return [F.col("_batch").desc(), F.col(self.version).desc()]
-
     def current(self) -> DataFrame | None:
+        """Newest row per key.  Only the batches are ranked; base rows are kept unless a
+        batch has their key, so few changes leave the base unshuffled."""
         base = table_or_none(self.spark, self.base)
         batches = table_or_none(self.spark, self.changes)
-        parts = []
-        if base is not None:
-            parts.append(base.withColumn("_batch", F.lit(-1).cast("long")))
-        if batches is not None:
-            numbered = batches.withColumn("_batch", F.col("batch_id").cast("long"))
-            parts.append(numbered.drop("batch_id"))
-        if not parts:
-            return None
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return last_wins(rows, [self.key], self._order()).drop("_batch")
+        newest = [F.col("batch_id").desc(), F.col(self.version).desc()]
+        if batches is None:
+            return base
+        if base is None:
+            return last_wins(batches, [self.key], newest).drop("batch_id")
+        return upsert(base, batches, self.key, newest)
 
     def compact_to(self, path: str) -> DataFrame:
         rows = self.current()
