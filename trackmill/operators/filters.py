@@ -232,7 +232,8 @@ class TimeWindow:
         if not self.excluded_keys:
             return matching
         if len(self.excluded_keys) <= INLINE_KEYS:
-            return matching.where(~F.col("issue_key").isin(list(self.excluded_keys)))
+            listed = F.col("issue_key").isin(list(self.excluded_keys))
+            return matching.where(~F.coalesce(listed, F.lit(False)))
         keys = key_table(issues.sparkSession, "issue_key", self.excluded_keys)
         return matching.join(keys, "issue_key", "left_anti")
 

@@ -47,6 +47,11 @@ def storage_stats(issues: DataFrame) -> DataFrame:
     """
     parts = ["project_key", "status_name", "issue_type_name"]
     combinations = issues.groupBy(*parts).agg(F.count("*").alias("_n"))
+    # An empty table still has a total.
+    nothing = issues.sparkSession.range(1).select(
+        *[F.lit(None).cast("string").alias(part) for part in parts], F.lit(0).cast("long").alias("_n")
+    )
+    combinations = combinations.unionByName(nothing)
     sets = [[], *[[F.col(part)] for part in parts]]
     grouped = combinations.groupingSets(sets, *[F.col(part) for part in parts]).agg(
         F.sum("_n").alias("n"), *[F.grouping(part).alias(f"_{part}") for part in parts]
@@ -58,10 +63,9 @@ def storage_stats(issues: DataFrame) -> DataFrame:
         .otherwise("total")
     )
     key = F.coalesce("project_key", "status_name", "issue_type_name")
-    rows = grouped.select(
-        metric.alias("metric"), key.alias("key"), F.coalesce("n", F.lit(0)).alias("n")
-    )
-    return rows.where((F.col("metric") != "project") | F.col("key").isNotNull())
+    rows = grouped.select(metric.alias("metric"), key.alias("key"), "n")
+    named = (F.col("n") > 0) & ((F.col("metric") != "project") | F.col("key").isNotNull())
+    return rows.where((F.col("metric") == "total") | named)
 
 
 def count_matching(issues: DataFrame, spec: IssueFilter) -> DataFrame:
@@ -213,12 +217,12 @@ def field_profile(documents: DataFrame, json_column: str) -> DataFrame:
 
 
 def top_authors(history: DataFrame, k: int, span: DateRange | None = None,
-                projects: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    """Most active authors with their share of changes by type, over a span and the
-    listed values of further columns."""
+                among: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """The ``k`` most active authors with the issues they touched, over a span and among
+    the rows whose columns hold one of the listed values."""
     if span is not None:
         history = history.where(span.condition("change_timestamp"))
-    for column, values in (projects or {}).items():
+    for column, values in (among or {}).items():
         history = history.where(F.col(column).isin(list(values)))
     authored = history.where(F.col("author_account_id").isNotNull())
     counted = authored.groupBy("author_account_id").agg(
