@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from trackmill.operators.grouping import first_seen, latest_per_project
 from trackmill.operators.stats import storage_stats
+from trackmill.plans.registry import REGISTRY
 from trackmill.plans.standins import owned_issues, table
 
 SF_DIR = driver.SMOKE_DIR
@@ -26,7 +27,7 @@ def run(spark, name):
     return driver.queries()[name](spark, SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - EAGER))
 def test_no_cross_join_and_no_python(spark, name):
     text = plan(run(spark, name))
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
