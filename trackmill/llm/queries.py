@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmill.llm import exact_dedup
+from trackmill.llm import decontaminate, exact_dedup, license_scan, mixing
 from trackmill.llm.common import UPPER, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +44,65 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256")
     )
+
+
+@llm_query("op2_license_scan")
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+    return license_scan.licence_summary(scanned).withColumnRenamed("id", "doc_id")
+
+
+@llm_query("op3_decontaminate")
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and test item that it holds, with its nearest place."""
+    leaks = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    nearest = F.min(F.struct("distance", "first_word", "last_word"))
+    return (
+        leaks.groupBy(F.col("id").alias("doc_id"), "item_id", "n_item_words")
+        .agg(F.count("*").alias("n_places"), nearest.alias("nearest"))
+        .select("doc_id", "item_id", "n_places", "n_item_words", "nearest.*")
+    )
+
+
+@llm_query("op4_fair_mix", r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS shuffle
+  FROM documents),
+sources AS (
+  SELECT source, SUM(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+  FROM sized GROUP BY source),
+limits AS (
+  SELECT *, CASE place % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, source_size * 3 AS most FROM sources),
+shares AS (
+  SELECT *,
+         CAST(SUM(source_size) OVER () - coalesce(SUM(most) OVER (
+           ORDER BY CAST(most AS DOUBLE) / weight, source NULLS LAST
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS left_over,
+         CAST(SUM(weight) OVER (
+           ORDER BY CAST(most AS DOUBLE) / weight, source NULLS LAST
+           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS weights_left
+  FROM limits),
+judged AS (SELECT *, CAST(most AS DOUBLE) <= CAST(weight AS DOUBLE) * left_over / weights_left AS held FROM shares),
+rate AS (SELECT left_over, weights_left FROM judged WHERE NOT held ORDER BY weights_left DESC LIMIT 1),
+targets AS (
+  SELECT source, source_size,
+         CASE WHEN held THEN CAST(most AS DOUBLE)
+              ELSE CAST(weight AS DOUBLE) * (SELECT left_over FROM rate) / (SELECT weights_left FROM rate) END AS target
+  FROM judged),
+placed AS (
+  SELECT d.doc_id, d.source, size, source_size, target,
+         row_number() OVER (ORDER BY d.source NULLS LAST, shuffle, doc_id) AS place,
+         SUM(size) OVER (PARTITION BY d.source ORDER BY shuffle, doc_id ROWS UNBOUNDED PRECEDING) AS own_words
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+passings AS (
+  SELECT *, CASE WHEN target > 0 THEN CAST(passing * source_size + own_words AS DOUBLE) / target ELSE 0 END AS finish
+  FROM placed, (VALUES (0), (1), (2)) p(passing) WHERE size > 0 OR passing = 0),
+queued AS (
+  SELECT *, SUM(size) OVER (ORDER BY finish, source NULLS LAST, place ROWS UNBOUNDED PRECEDING) AS used FROM passings)
+SELECT doc_id, size, CAST(MAX(source_size) AS BIGINT) AS source_size, MAX(target) AS target,
+       CAST(SUM(CASE WHEN used <= (SELECT SUM(size) FROM sized) THEN size ELSE 0 END) AS BIGINT) AS taken
+FROM queued GROUP BY place, doc_id, size""")
+def op4_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.fair_mix(table(spark, sf_dir, "documents"))
+    return mix.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
