@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmill.llm import decontaminate, exact_dedup, license_scan, mixing
+from trackmill.llm import decontaminate, exact_dedup, license_scan, mixing, simhash, token_files
 from trackmill.llm.common import UPPER, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,16 @@ FROM queued GROUP BY place, doc_id, size""")
 def op4_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.fair_mix(table(spark, sf_dir, "documents"))
     return mix.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@llm_query("op5_token_files")
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_files.token_files(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@llm_query("op8_simhash")
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return groups.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
