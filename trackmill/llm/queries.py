@@ -8,7 +8,17 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmill.llm import decontaminate, exact_dedup, license_scan, mixing, simhash, token_files
+from trackmill.llm import (
+    decontaminate,
+    exact_dedup,
+    html_text,
+    license_scan,
+    mixing,
+    simhash,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from trackmill.llm.common import UPPER, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +129,24 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return groups.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
+
+
+@llm_query("op6_html_text")
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@llm_query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select(
+        F.col("id").alias("doc_id"), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@llm_query("op10_url_filter")
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge_urls(table(spark, sf_dir, "pages"))
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
