@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmill.llm import (
+    attention_lm,
     decontaminate,
     exact_dedup,
     html_text,
@@ -150,3 +151,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages"))
     return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+@llm_query("op7_attention_lm")
+def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
