@@ -2,8 +2,8 @@ r"""Main text of web pages by tag-path ratios.
 
 A page's text nodes are grouped by their tag path, the elements from the root down to them.
 Each path has a text ratio (characters outside links per node) and a punctuation ratio (marks
-per node); both are smoothed over neighbouring nodes in page order and fused into one score,
-and paths above ``THRESHOLD`` times the page's standard deviation hold content.  The article
+per node); both are smoothed over neighbouring nodes in page order and fused, own and smoothed
+values, into one score, and paths above ``THRESHOLD`` times the page's standard deviation hold content.  The article
 is then the element that holds the content: the ``article`` or ``main`` element with most of
 it, or else the smallest element around all of it.  Its text is taken whole, short paragraphs
 and headings too; without such an element, everything between the first and the last content
@@ -45,6 +45,8 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
     "samp small span strike strong sub sup time tt u var wbr".split()
 )
+# Elements that are not shown and do not part the text around them.
+UNSHOWN = frozenset("script style noscript template link meta".split())
 # Elements that an opening tag of the key ends, within the nearest of the stops.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -116,7 +118,7 @@ def nodes_of(page: str) -> tuple[list[Node], dict[int, str]]:
     def close(count: int) -> None:
         nonlocal block
         for tag, _, _, _ in stack[count:]:
-            if tag not in INLINE:
+            if tag not in INLINE and tag not in UNSHOWN:
                 block += 1
         del stack[count:]
 
@@ -134,7 +136,7 @@ def nodes_of(page: str) -> tuple[list[Node], dict[int, str]]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if depth is not None:
                 close(depth)
-            elif tag not in INLINE:
+            elif tag not in INLINE and tag not in UNSHOWN:
                 block += 1
             raw = None
             continue
@@ -154,7 +156,7 @@ def nodes_of(page: str) -> tuple[list[Node], dict[int, str]]:
                 if stack[i][0] in ended:
                     close(i)
                     break
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in UNSHOWN:
             block += 1
         if tag in VOID or found[3].endswith("/") and tag not in RAW:
             continue
@@ -171,7 +173,8 @@ def nodes_of(page: str) -> tuple[list[Node], dict[int, str]]:
 
 
 def path_scores(nodes: list[Node]) -> dict[str, float]:
-    """Fused ratio of each tag path: geometric mean of smoothed text and punctuation ratios."""
+    """Fused ratio of each tag path: geometric mean of its own text ratio and of the smoothed
+    text and punctuation ratios at its nodes."""
     chars: dict[str, float] = {}
     marks: dict[str, float] = {}
     count: dict[str, int] = {}
@@ -193,7 +196,7 @@ def path_scores(nodes: list[Node]) -> dict[str, float]:
     sums: dict[str, float] = {}
     for node, t, p in zip(nodes, smooth(text), smooth(punctuation), strict=True):
         sums[node.path] = sums.get(node.path, 0.0) + math.sqrt(t * (1.0 + p))
-    return {path: total / count[path] for path, total in sums.items()}
+    return {path: math.sqrt(chars[path] / count[path] * total / count[path]) for path, total in sums.items()}
 
 
 def article_nodes(nodes: list[Node], kinds: dict[int, str]) -> list[Node]:
