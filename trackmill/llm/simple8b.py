@@ -17,6 +17,8 @@ ESCAPE = 0
 
 def bit_lengths(values: np.ndarray) -> np.ndarray:
     """Bits that each unsigned value takes; none for 0."""
+    if not len(values) or values.max() < 1 << 53:  # exact as floating-point numbers
+        return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
     bits = np.zeros(len(values), np.uint8)
     rest = values.astype(np.uint64)
     for step in (32, 16, 8, 4, 2, 1):
@@ -40,7 +42,7 @@ def choose(values: np.ndarray) -> np.ndarray:
         fits = bits <= BITS[selector]
         if not fits.any():
             break
-        wrong = np.concatenate(([0], np.cumsum(~fits)))
+        wrong = np.concatenate(([0], np.cumsum(~fits, dtype=np.int32)))
         whole = wrong[count:] == wrong[:-count]
         chosen[: n - count + 1][whole] = selector
     return chosen
