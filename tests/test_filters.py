@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from trackmill.functions.text import contains_any
 from trackmill.operators import filters
-from trackmill.operators.filters import DateRange, HistoryFilter, IssueFilter, TimeWindow, in_chunk
+from trackmill.operators.filters import INLINE_KEYS, DateRange, HistoryFilter, IssueFilter, TimeWindow, in_chunk
+from trackmill.sources.tables import overwrite_history
 
 
 def keys(df):
@@ -133,3 +134,31 @@ def test_idioms(issues):
     assert issues.where(filters.updated_within(7, T0)).count() == 500
     assert issues.where(contains_any(F.col("summary"), ["NUMBER 1", "zzz"])).count() == 111
     assert issues.where(contains_any(F.col("summary"), [])).count() == 0
+
+
+@pytest.mark.parametrize("name, column", IssueFilter.LISTS)
+def test_long_lists_change_nothing(issues, name, column):
+    few = [r[0] for r in issues.select(column).where(F.col(column).isNotNull()).distinct().limit(2).collect()]
+    long = few + [f"none-{i}" for i in range(INLINE_KEYS + 1 - len(few))]
+    short, joined = (IssueFilter(**{name: values}).apply(issues) for values in (few, long))
+    assert joined.columns == short.columns == issues.columns
+    assert sorted(short.collect()) == sorted(joined.collect())
+
+
+def test_long_exclusions_change_nothing(issues):
+    few = [r[0] for r in issues.select("issue_key").limit(3).collect()]
+    long = few + [f"none-{i}" for i in range(INLINE_KEYS + 1 - len(few))]
+    short, joined = (TimeWindow().excluding(values).apply(issues) for values in (few, long))
+    assert joined.columns == issues.columns
+    assert sorted(r.id for r in short.collect()) == sorted(r.id for r in joined.collect())
+
+
+def test_history_is_pruned_by_month(spark, history, tmp_path):
+    path = str(tmp_path / "history")
+    overwrite_history(history, path)
+    stored = spark.read.parquet(path)
+    spec = HistoryFilter(date_range=DateRange("2024-05-31", "2024-06-01"))
+    found = spec.apply(stored)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(change_month" in text
+    assert found.count() == spec.apply(history).count()

@@ -40,9 +40,9 @@ def test_pages_concatenate_to_the_full_sort(issues):
 def test_deep_pages_come_from_positions(issues):
     order = issue_order("updated_desc")
     whole = [row.id for row in issues.orderBy(*order).collect()]
-    assert [r.id for r in take_page(issues, order, 50, 200, top_k_rows=10).collect()] == whole[200:250]
+    assert [r.id for r in take_page(issues, order, 50, 200, positions=True).collect()] == whole[200:250]
     assert [r.id for r in take_page(issues, order, None, 480).collect()] == whole[480:]
-    assert [r.id for r in take_page(issues, order, 20, 0, top_k_rows=10).collect()] == whole[:20]
+    assert [r.id for r in take_page(issues, order, 20, 0, positions=True).collect()] == whole[:20]
 
 
 def test_positions_are_dense(issues):

@@ -16,7 +16,8 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test table
 
 # Queries that write or stream do so when they are built.
 EAGER = {"q_scan_pages", "q_s2", "q_s3", "q_s6", "q_s8", "q_s9", "q_s12", "q_s14", "q_s15",
-         "q_t3", "q_t6", "q_t7", "q_o11", "q_o12", "q_incremental", "q_a17"}
+         "q_t3", "q_t6", "q_t7", "q_o11", "q_o12", "q_incremental", "q_a17", "q_sync_rounds",
+         "q_project_history_stats"}
 
 
 def plan(df) -> str:

@@ -9,13 +9,27 @@ from trackmill.functions.instants import Instant, instant, parse_instant
 from trackmill.functions.projections import computed_once
 from trackmill.functions.text import string_or_null
 
-# Members stay VARIANT, so that text can be told from other JSON types, and an entry is
-# parsed by itself, so that a malformed one spoils no other.
+_CORRUPT = "_corrupt"
+_ITEM = ("field", "fieldId", "from", "to", "fromString", "toString")
+# One typed parse reads a log whose members have the types they should have.
+_TYPED = f"""
+    histories array<struct<
+        id string, created string, author struct<accountId string, displayName string, emailAddress string>,
+        items array<struct<{', '.join(f'`{name}` string' for name in _ITEM)}>>>>,
+    {_CORRUPT} string
+"""
+# A text member with a value that is neither text nor null, or a member name that is
+# spelt with an escape: the typed parse would take the first for text.
+_DOUBTFUL = (
+    r'"(?:id|created|accountId|displayName|emailAddress|field|fieldId|from|to|fromString|toString)"\s*:\s*[^"n\s]'
+    r'|"[^"]*\\u[^"]*"\s*:'
+)
+# Such logs are read with members as VARIANT, so that text can be told from other types,
+# and entry by entry, so that a malformed one spoils no other.
 _HISTORIES = "histories array<string>"
-_ENTRY = """
+_LOOSE = f"""
     id variant, created variant, author variant,
-    items array<struct<field variant, fieldId variant, `from` variant, `to` variant,
-                       fromString variant, toString variant>>
+    items array<struct<{', '.join(f'`{name}` variant' for name in _ITEM)}>>
 """
 
 HISTORY_COLUMNS = (
@@ -23,58 +37,81 @@ HISTORY_COLUMNS = (
     "author_display_name", "author_email", "field_name", "field_id", "from_value", "to_value",
     "from_display_value", "to_display_value", "history_pos", "item_pos",
 )
+MODES = ("quarantine", "strict", "issue")
+
+
+def _entry(change_id: Column, created: Column, has_author: Column, author: list[Column], items: Column) -> Column:
+    account, name, email = author
+    return F.struct(
+        change_id.alias("change_id"), created.alias("created"), has_author.alias("has_author"),
+        account.alias("author_account_id"), name.alias("author_display_name"), email.alias("author_email"),
+        items.alias("items"),
+    )
 
 
-def _text(value: str, name: str) -> Column:
-    return string_or_null(F.try_variant_get(F.col(value), f"$.{name}", "variant"))
+def _typed_entry(entry: Column) -> Column:
+    author = entry["author"]
+    members = [author[name] for name in ("accountId", "displayName", "emailAddress")]
+    return _entry(entry["id"], entry["created"], author.isNotNull(), members, entry["items"])
 
 
-def _entries(issues: DataFrame, changelog: str) -> DataFrame:
-    """One row per history entry, or one without an entry when there are none to read."""
-    histories = F.from_json(F.col(changelog), _HISTORIES)["histories"]
-    documents = computed_once(issues.select("issue_id", "issue_key", changelog), _histories=histories)
-    entries = documents.select(
-        "issue_id", "issue_key", F.col("_histories").isNull().alias("_no_histories"),
-        F.posexplode_outer("_histories").alias("history_pos", "_text"),
+def _loose_entry(entry: Column) -> Column:
+    author = entry["author"]
+    members = [
+        string_or_null(F.try_variant_get(author, f"$.{name}", "variant"))
+        for name in ("accountId", "displayName", "emailAddress")
+    ]
+    items = F.transform(
+        entry["items"], lambda item: F.struct(*[string_or_null(item[name]).alias(name) for name in _ITEM])
     )
-    parsed = computed_once(entries, _entry=F.from_json("_text", _ENTRY)).select(
-        "issue_id", "issue_key", "history_pos", "_no_histories",
-        F.col("_entry.author").alias("_author"), F.col("_entry.items").alias("_items"),
-        F.col("_entry.id").alias("_id"), F.col("_entry.created").alias("_time"),
+    there = author.isNotNull() & (F.schema_of_variant(author) != "VOID")
+    return _entry(
+        string_or_null(entry["id"]), string_or_null(entry["created"]), F.coalesce(there, F.lit(False)), members, items
     )
-    texts = computed_once(
-        parsed,
-        change_id=string_or_null(F.col("_id")),
-        _created=string_or_null(F.col("_time")),
-        author_account_id=_text("_author", "accountId"),
-        author_display_name=_text("_author", "displayName"),
-        author_email=_text("_author", "emailAddress"),
+
+
+def _loose(log: Column) -> Column:
+    """Entries of a doubtful log; each text is parsed once, as the one element of an array."""
+    return F.transform(
+        F.from_json(log, _HISTORIES)["histories"],
+        lambda text: F.transform(F.array(F.from_json(text, _LOOSE)), _loose_entry)[0],
     )
-    return computed_once(texts, change_timestamp=parse_instant(F.col("_created")))
 
 
-def _violation() -> Column:
+def _violation(entry: Column, time: Column) -> Column:
     """Why an entry cannot be used; null when it can."""
-    named = F.forall(
-        "_items", lambda item: F.coalesce(F.schema_of_variant(item["field"]), F.lit("")) == "STRING"
-    )
-    author_broken = F.col("_author").isNotNull() & (
-        F.col("author_account_id").isNull() | F.col("author_display_name").isNull()
-    )
+    broken = entry["has_author"] & (entry["author_account_id"].isNull() | entry["author_display_name"].isNull())
     return (
-        F.when(F.col("_no_histories"), "no histories array in changelog")
-        .when(F.col("change_id").isNull(), "missing change id in history")
-        .when(F.col("_created").isNull(), "missing created timestamp in history")
-        .when(F.col("change_timestamp").isNull(), "invalid timestamp format")
-        .when(author_broken, "author without account id or display name")
-        .when(F.col("_items").isNull(), "missing items array in history")
-        .when(~named, "missing field name in history item")
+        F.when(entry["change_id"].isNull(), "no-change-id")
+        .when(entry["created"].isNull(), "no-time")
+        .when(time.isNull(), "bad-time")
+        .when(broken, "author-incomplete")
+        .when(entry["items"].isNull(), "no-items")
+        .when(~F.forall(entry["items"], lambda item: item["field"].isNotNull()), "field-unnamed")
     )
 
 
-def _judged(issues: DataFrame, changelog: str) -> DataFrame:
-    entries = _entries(issues, changelog).withColumn("violation", _violation())
-    return entries.where(F.col("history_pos").isNotNull() | F.col("_no_histories"))
+def _judge(entry: Column) -> Column:
+    time = parse_instant(entry["created"])
+    return F.struct(
+        entry.alias("entry"), time.alias("change_timestamp"), _violation(entry, time).alias("violation")
+    )
+
+
+def _logs(issues: DataFrame, changelog: str) -> DataFrame:
+    """Every log with its judged entries, or with none where it has no list of them."""
+    log = F.col(changelog)
+    typed = F.from_json(log, _TYPED, {"columnNameOfCorruptRecord": _CORRUPT})
+    logs = computed_once(issues.select("issue_id", "issue_key", changelog), _doc=typed)
+    doubtful = F.col("_doc").isNull() | F.col(f"_doc.{_CORRUPT}").isNotNull() | log.rlike(_DOUBTFUL)
+    entries = F.when(doubtful, _loose(log)).otherwise(F.transform(F.col("_doc.histories"), _typed_entry))
+    read = computed_once(logs, _entries=entries)
+    return computed_once(read, _judged=F.transform("_entries", _judge)).select("issue_id", "issue_key", "_judged")
+
+
+def _entries(logs: DataFrame) -> DataFrame:
+    judged = logs.select("issue_id", "issue_key", F.posexplode("_judged").alias("history_pos", "_j"))
+    return judged.select("issue_id", "issue_key", "history_pos", "_j.*").select("*", "entry.*").drop("entry")
 
 
 def parse_changelog(
@@ -83,40 +120,44 @@ def parse_changelog(
     """One history row per changed field of every valid entry.
 
     ``issues`` has ``issue_id``, ``issue_key`` and the change log as JSON text.  An invalid
-    entry is left to :func:`changelog_quarantine`; in ``strict`` mode it fails the job.
-    An entry without items gives no rows.
+    entry is left to :func:`changelog_quarantine`; in mode ``issue`` it takes all entries of
+    its log with it, and in mode ``strict`` it fails the job.  An entry without items gives
+    no rows.
     """
-    if mode not in ("quarantine", "strict"):
-        raise ValueError("mode is quarantine or strict")
-    judged = _judged(issues, changelog)
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {', '.join(MODES)}")
+    logs = _logs(issues, changelog)
     if mode == "strict":
-        # The items themselves raise: a separate filter could run after Spark has already
-        # dropped the entries that have none.
-        complaint = F.raise_error(F.concat_ws(": ", "issue_key", "violation"))
-        checked = F.when(F.col("violation").isNotNull(), complaint).otherwise(F.col("_items"))
-        valid = judged.withColumn("_items", checked)
-    else:
-        valid = judged.where(F.col("violation").isNull())
-    items = valid.select("*", F.posexplode("_items").alias("item_pos", "_item"))
-
-    def text(name: str) -> Column:
-        return string_or_null(F.col("_item").getField(name))
-
+        # The log itself raises: a separate filter could run after Spark has already
+        # dropped the entries that give no rows.
+        first = F.get(F.filter("_judged", lambda j: j["violation"].isNotNull()), F.lit(0))["violation"]
+        reason = F.when(F.col("_judged").isNull(), "no-histories").otherwise(first)
+        complaint = F.raise_error(F.concat_ws(": ", "issue_key", reason))
+        logs = logs.withColumn("_judged", F.when(reason.isNotNull(), complaint).otherwise(F.col("_judged")))
+    elif mode == "issue":
+        logs = logs.where(F.forall("_judged", lambda j: j["violation"].isNull()))
+    valid = _entries(logs).where(F.col("violation").isNull())
+    items = valid.select("*", F.posexplode("items").alias("item_pos", "_item"))
+    named = zip(
+        _ITEM, ("field_name", "field_id", "from_value", "to_value", "from_display_value", "to_display_value"), strict=True
+    )
     return items.select(
-        "*",
-        text("field").alias("field_name"),
-        text("fieldId").alias("field_id"),
-        text("from").alias("from_value"),
-        text("to").alias("to_value"),
-        text("fromString").alias("from_display_value"),
-        text("toString").alias("to_display_value"),
+        "*", *[F.col("_item").getField(member).alias(name) for member, name in named]
     ).select(*HISTORY_COLUMNS)
 
 
 def changelog_quarantine(issues: DataFrame, changelog: str = "changelog") -> DataFrame:
-    """Entries that break a rule, with the rule."""
-    broken = _judged(issues, changelog).where(F.col("violation").isNotNull())
-    return broken.select("issue_id", "issue_key", "history_pos", "change_id", "violation")
+    """Entries that break a rule, with the rule; a log without a list of entries is one row
+    without a position."""
+    logs = _logs(issues, changelog)
+    columns = ("issue_id", "issue_key", "history_pos", "change_id", "violation")
+    broken = logs.select("issue_id", "issue_key", F.posexplode_outer("_judged").alias("history_pos", "_j"), "_judged")
+    none = F.when(F.col("_judged").isNull(), "no-histories")
+    told = broken.select(
+        "issue_id", "issue_key", "history_pos", F.col("_j.entry.change_id").alias("change_id"),
+        F.coalesce(none, F.col("_j.violation")).alias("violation"),
+    )
+    return told.where(F.col("violation").isNotNull()).select(*columns)
 
 
 def as_history(parsed: DataFrame, created_at: Instant) -> DataFrame:

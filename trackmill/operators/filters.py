@@ -23,6 +23,20 @@ from trackmill.functions.text import contains_text
 INLINE_KEYS = 1000
 
 
+# The month that stored history is partitioned by.
+MONTH = "change_month"
+
+
+def months_between(start: Instant | None = None, end: Instant | None = None) -> Column:
+    """Bound on the partition column for changes from ``start`` to ``end``."""
+    bounds = []
+    if start is not None:
+        bounds.append(F.col(MONTH) >= F.lit(as_utc(start).date().replace(day=1)))
+    if end is not None:
+        bounds.append(F.col(MONTH) <= F.lit(as_utc(end).date().replace(day=1)))
+    return all_of(bounds)
+
+
 def all_of(predicates: Sequence[Column]) -> Column:
     return reduce(and_, predicates, F.lit(True))
 
@@ -120,7 +134,7 @@ class IssueFilter:
             if len(values) > INLINE_KEYS:
                 keys = key_table(issues.sparkSession, column, values)
                 matching = matching.join(keys, column, "left_semi")
-        return matching
+        return matching.select(*issues.columns)
 
 
 @dataclass(frozen=True)
@@ -148,7 +162,8 @@ class HistoryFilter:
         if unknown:
             raise ValueError(f"unknown change types: {sorted(unknown)}")
 
-    def predicates(self) -> list[Column]:
+    def predicates(self, by_month: bool = False) -> list[Column]:
+        """``by_month`` adds the bound on the month that stored history is partitioned by."""
         found = [
             F.col(column).isin(list(values))
             for name, column in self.LISTS
@@ -156,18 +171,20 @@ class HistoryFilter:
         ]
         if self.date_range is not None:
             found.append(self.date_range.condition("change_timestamp"))
+            if by_month:
+                found.append(months_between(self.date_range.start, self.date_range.end))
         if self.change_types:
             found.append(change_type().isin(list(self.change_types)))
         return found
 
     def apply(self, history: DataFrame) -> DataFrame:
-        matching = history.where(all_of(self.predicates()))
+        matching = history.where(all_of(self.predicates(MONTH in history.columns)))
         for name, column in self.LISTS:
             values = getattr(self, name)
             if len(values) > INLINE_KEYS:
                 keys = key_table(history.sparkSession, column, values)
                 matching = matching.join(keys, column, "left_semi")
-        return matching
+        return matching.select(*history.columns)
 
 
 @dataclass(frozen=True)
@@ -235,7 +252,7 @@ class TimeWindow:
             listed = F.col("issue_key").isin(list(self.excluded_keys))
             return matching.where(~F.coalesce(listed, F.lit(False)))
         keys = key_table(issues.sparkSession, "issue_key", self.excluded_keys)
-        return matching.join(keys, "issue_key", "left_anti")
+        return matching.join(keys, "issue_key", "left_anti").select(*issues.columns)
 
 
 def in_chunk(start: Instant, end: Instant, created: bool = True, updated: bool = True,

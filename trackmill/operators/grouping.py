@@ -8,26 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_LIMIT_SETTING = "spark.sql.optimizer.windowGroupLimitThreshold"
-
 
 def top_per_group(
     df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column], k: int
 ) -> DataFrame:
     """The first ``k`` rows of every group in the given order.
 
-    Spark applies a small rank limit inside each map task before the shuffle, so a
-    group sends at most ``k`` rows per task however large it is.  For a larger ``k``
-    the same reduction is made explicitly, per group and source partition.
+    Spark applies the rank limit inside each map task before the shuffle where it is below
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, so a group then sends at most ``k``
+    rows per task however large it is.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     columns = df.columns
-    limit = int(df.sparkSession.conf.get(_LIMIT_SETTING, "1000"))
-    if k > limit:
-        part = W.partitionBy(*keys, "_part").orderBy(*order)
-        df = df.withColumn("_part", F.spark_partition_id())
-        df = df.withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= k)
     ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("_rank") <= k).select(*columns)
 
@@ -43,9 +36,9 @@ def last_wins(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Colum
 
 
 def first_by_text(df: DataFrame, text: str, order: Sequence[Column]) -> DataFrame:
-    """Keep the first row per exact text.  The hash leads the key so that sorting
-    compares numbers; the text itself still decides equality."""
-    return first_seen(df, [F.xxhash64(text), F.col(text)], order)
+    """Keep the first row per exact text.  Texts are told apart by their SHA-256 digest, so
+    that rows are sorted and, where the text itself is not asked for, moved without it."""
+    return first_seen(df, [F.sha2(F.col(text).cast("binary"), 256)], order)
 
 
 def retain_last(runs: DataFrame, service: str, order: Sequence[Column], keep: int) -> DataFrame:

@@ -43,6 +43,9 @@ def spread_join(
 ) -> DataFrame:
     """Equi-join whose left side may have very frequent keys; ``right`` has each key once.
 
+    Adaptive execution splits such keys by itself wherever both sides are shuffled, so the
+    joins below are plain; this one is for a caller that has switched it off.
+
     Left rows with a hot first key are dealt out over ``salts`` tasks and the matching
     right rows are copied to each of them.  All other keys get salt 0.  ``how`` is inner,
     left, left_semi or left_anti.
@@ -59,7 +62,8 @@ def spread_join(
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_left = left.withColumn("_salt", dealt)
     salted_right = right.withColumn("_salt", F.explode(copies))
-    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
+    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
+    return salted_left.join(salted_right, [*keys, "_salt"], how).select(*left.columns, *added)
 
 
 def join_history(
@@ -83,30 +87,37 @@ def join_history(
     return joined.orderBy(F.col("change_timestamp").desc(), "issue_key", "change_id")
 
 
-def exclude_known(issues: DataFrame, known: DataFrame, key: str = "issue_key",
-                  hot: DataFrame | None = None) -> DataFrame:
+def exclude_known(issues: DataFrame, known: DataFrame, key: str = "issue_key") -> DataFrame:
     """Issues whose key is not known yet; a null key is kept."""
-    return spread_join(issues, known.select(key).distinct(), [key], "left_anti", hot)
+    return issues.join(known.select(key), key, "left_anti").select(*issues.columns)
 
 
-def exclude_unchanged(issues: DataFrame, known: DataFrame, key: str = "issue_key",
-                      version: str = "updated", hot: DataFrame | None = None) -> DataFrame:
+def exclude_unchanged(
+    issues: DataFrame, known: DataFrame, key: str = "issue_key", version: str = "updated"
+) -> DataFrame:
     """Issues that are new or carry another version than the known one."""
-    versions = known.select(key, version).distinct()
-    return spread_join(issues, versions, [key, version], "left_anti", hot)
+    versions = known.select(key, version)
+    return issues.join(versions, [key, version], "left_anti").select(*issues.columns)
 
 
-def keep_known(issues: DataFrame, known: DataFrame, key: str = "issue_key",
-               hot: DataFrame | None = None) -> DataFrame:
+def keep_known(issues: DataFrame, known: DataFrame, key: str = "issue_key") -> DataFrame:
     """Issues whose key is known already."""
-    return spread_join(issues, known.select(key).distinct(), [key], "left_semi", hot)
+    return issues.join(known.select(key), key, "left_semi").select(*issues.columns)
 
 
-def classify(issues: DataFrame, known: DataFrame, key: str = "issue_key",
-             hot: DataFrame | None = None) -> DataFrame:
-    """Mark every fetched issue as ``updated`` when its key is known, else ``new``."""
-    flags = known.select(key).distinct().withColumn("_known", F.lit(True))
-    marked = spread_join(issues, flags, [key], "left", hot)
+def classify(
+    issues: DataFrame, known: DataFrame, key: str = "issue_key", version: str | None = None
+) -> DataFrame:
+    """Mark every fetched issue as ``updated`` when its key is known, else ``new``.
+
+    With ``version``, issues that a known row has in the same version are left out by the
+    same join.
+    """
+    seen = F.collect_set(version) if version else F.lit(True)
+    flags = known.select(key, *([version] if version else [])).groupBy(key).agg(seen.alias("_known"))
+    marked = issues.join(flags, key, "left")
+    if version:
+        marked = marked.where(~F.coalesce(F.array_contains("_known", F.col(version)), F.lit(False)))
     kind = F.when(F.col("_known").isNotNull(), "updated").otherwise("new")
     return marked.select(*issues.columns, kind.alias("sync_kind"))
 
@@ -127,7 +138,8 @@ def chunk_index(ts: Column, start: Instant, end: Instant, hours: int) -> Column:
 def assign_chunks(
     df: DataFrame, chunks: DataFrame, timestamp: str, keep: Sequence[str], bin_hours: int = 24
 ) -> DataFrame:
-    """Rows with the arbitrary chunk ``[chunk_start, chunk_end)`` they fall in.
+    """Rows with the chunk they fall in: from its start to before its end, and to its end for
+    the chunk that ends last.
 
     Chunks are laid over fixed bins, so that the join is an equality on the bin and only
     rows of the same bin are compared.
@@ -135,10 +147,12 @@ def assign_chunks(
     def bin_of(ts: Column) -> Column:
         return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(bin_hours * 3_600_000_000)).cast("long")
 
-    last_instant = F.col("chunk_end") - F.expr("INTERVAL '0.000001' SECOND")
-    bins = chunks.where(F.col("chunk_start") < F.col("chunk_end")).withColumn(
-        "_bin", F.explode(F.sequence(bin_of(F.col("chunk_start")), bin_of(last_instant)))
+    real = chunks.where(F.col("chunk_start") < F.col("chunk_end"))
+    last = F.col("chunk_end") == real.agg(F.max("chunk_end")).scalar()
+    before_end = F.col("chunk_end") - F.expr("INTERVAL '0.000001' SECOND")
+    bins = real.withColumn("_until", F.when(last, F.col("chunk_end")).otherwise(before_end)).withColumn(
+        "_bin", F.explode(F.sequence(bin_of(F.col("chunk_start")), bin_of(F.col("_until"))))
     )
     rows = df.select(*keep, timestamp).withColumn("_bin", bin_of(F.col(timestamp)))
-    inside = (F.col(timestamp) >= F.col("chunk_start")) & (F.col(timestamp) < F.col("chunk_end"))
-    return rows.join(bins, "_bin").where(inside).drop("_bin")
+    inside = F.col(timestamp).between(F.col("chunk_start"), F.col("_until"))
+    return rows.join(bins, "_bin").where(inside).drop("_bin", "_until")

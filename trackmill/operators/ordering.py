@@ -36,10 +36,6 @@ HISTORY_SORTS = {
 ISSUE_TIES = ("issue_key", "id")
 HISTORY_TIES = ("issue_key", "change_id", "field_name", "history_id")
 
-# A top-k keeps k rows per task and merges them on the driver; a page that reaches
-# deeper than this is cut from whole-table positions instead.
-TOP_K_ROWS = 100_000
-
 
 def _directed(column: Column, ascending: bool) -> Column:
     return column.asc_nulls_last() if ascending else column.desc_nulls_last()
@@ -61,12 +57,17 @@ def history_order(sort_order: str, ties: Sequence[str] = HISTORY_TIES) -> list[C
 
 
 def with_position(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
-    """Number all rows 1, 2, 3, … in the given order without gathering them anywhere.
+    """Number all rows 1, 2, 3, … in the given order without gathering them anywhere."""
+    return numbered(df.orderBy(*order), name)
+
+
+def numbered(df: DataFrame, name: str = "position") -> DataFrame:
+    """Number the rows of a sorted table 1, 2, 3, … in the order they are in.
 
-    Rows are range-sorted and checkpointed; a row's position is the size of the
-    partitions before its own plus its place inside it.
+    Rows are checkpointed as they are; a row's position is the size of the partitions
+    before its own plus its place inside it.
     """
-    placed = durable(df.orderBy(*order)).withColumn("_serial", F.monotonically_increasing_id())
+    placed = durable(df).withColumn("_serial", F.monotonically_increasing_id())
     placed = placed.select(
         *df.columns,
         F.shiftright("_serial", 33).alias("_part"),
@@ -76,8 +77,7 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str = "position"
     # One row per partition: small enough for one window task and to broadcast.
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    numbered = placed.join(F.broadcast(starts), "_part")
-    return numbered.select(*df.columns, (F.col("_start") + F.col("_row") + 1).alias(name))
+    return placed.join(F.broadcast(starts), "_part").select(*df.columns, (F.col("_start") + F.col("_row") + 1).alias(name))
 
 
 def take_page(
@@ -85,28 +85,34 @@ def take_page(
     order: Sequence[Column],
     limit: int | None = None,
     offset: int = 0,
-    top_k_rows: int = TOP_K_ROWS,
+    positions: bool = False,
 ) -> DataFrame:
-    """Sorted rows ``offset+1 … offset+limit``; beyond the last row there is nothing."""
+    """Sorted rows ``offset+1 … offset+limit``; beyond the last row there is nothing.
+
+    By itself this starts no job: it is a top-k, which keeps the page and all rows before it
+    in every task and is meant for small pages near the start.  With ``positions`` the page
+    is cut from whole-table positions instead, which writes a checkpoint of the sorted
+    table at once, for which the session needs ``spark.checkpoint.dir``.  Long walks do
+    better with :func:`page_after`.
+    """
     if limit is None and not offset:
         return df.orderBy(*order)
-    if limit is not None and offset + limit <= top_k_rows:
+    if not positions:
         ordered = df.orderBy(*order)
-        return (ordered.offset(offset) if offset else ordered).limit(limit)
+        ordered = ordered.offset(offset) if offset else ordered
+        return ordered if limit is None else ordered.limit(limit)
     position = F.col("_position")
     wanted = position > offset
     if limit is not None:
         wanted = wanted & (position <= offset + limit)
-    numbered = with_position(df, order, "_position").where(wanted)
-    return numbered.orderBy("_position").drop("_position")
+    return with_position(df, order, "_position").where(wanted).orderBy("_position").drop("_position")
 
 
 def assign_pages(df: DataFrame, order: Sequence[Column], size: int) -> DataFrame:
     """Every row with its ``page`` and its ``position``, as a full page walk meets them."""
     if size < 1:
         raise ValueError("page size must be at least 1")
-    numbered = with_position(df, order)
-    return numbered.withColumn("page", F.floor((F.col("position") - 1) / F.lit(size)).cast("long"))
+    return with_position(df, order).withColumn("page", F.floor((F.col("position") - 1) / F.lit(size)).cast("long"))
 
 
 def page_after(issues: DataFrame, last_created: Instant, last_key: str, size: int) -> DataFrame:
@@ -120,10 +126,12 @@ def page_after(issues: DataFrame, last_created: Instant, last_key: str, size: in
     return take_page(rest, issue_order("created_asc"), size)
 
 
-def load_issues(issues: DataFrame, spec: IssueFilter, created_date: str | None = None) -> DataFrame:
-    """Filter, order and page issues as ``spec`` says."""
+def load_issues(
+    issues: DataFrame, spec: IssueFilter, created_date: str | None = None, positions: bool = False
+) -> DataFrame:
+    """Filter, order and page issues as ``spec`` says; ``positions`` as in :func:`take_page`."""
     matching = spec.apply(issues, created_date)
-    return take_page(matching, issue_order(spec.sort_order), spec.limit, spec.offset)
+    return take_page(matching, issue_order(spec.sort_order), spec.limit, spec.offset, positions)
 
 
 def load_history(

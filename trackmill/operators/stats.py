@@ -12,7 +12,7 @@ from trackmill.functions.changes import CHANGE_TYPES, change_label, change_type
 from trackmill.functions.instants import Instant, as_utc, instant, run_seconds
 from trackmill.functions.projections import percent
 from trackmill.functions.text import or_default
-from trackmill.operators.filters import DateRange, IssueFilter
+from trackmill.operators.filters import MONTH, DateRange, IssueFilter, months_between
 
 # --- fixed values: display defaults and JSON type names ---
 UNASSIGNED = "unassigned"
@@ -74,18 +74,29 @@ def count_matching(issues: DataFrame, spec: IssueFilter) -> DataFrame:
 
 
 def history_stats(history: DataFrame, approximate: bool = False) -> DataFrame:
-    """Changes, issues, authors and the span of change times, in one pass.
+    """Changes, issues, authors and the span of change times.
 
-    ``approximate`` counts issues and authors with a sketch, which shuffles no keys.
+    Issues and authors are reduced to one row each and counted; no row is multiplied.
+    ``approximate`` counts them with a sketch instead, in one pass that shuffles no keys.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    return history.agg(
-        F.count("*").alias("total_changes"),
-        distinct(F.col("issue_key")).alias("unique_issues"),
-        distinct(F.col("author_account_id")).alias("unique_authors"),
-        F.min("change_timestamp").alias("oldest_change"),
-        F.max("change_timestamp").alias("newest_change"),
+    if approximate:
+        return history.agg(
+            F.count("*").alias("total_changes"),
+            F.approx_count_distinct("issue_key").alias("unique_issues"),
+            F.approx_count_distinct("author_account_id").alias("unique_authors"),
+            F.min("change_timestamp").alias("oldest_change"),
+            F.max("change_timestamp").alias("newest_change"),
+        )
+    by_issue = history.groupBy("issue_key").agg(
+        F.count("*").alias("_n"), F.min("change_timestamp").alias("_first"), F.max("change_timestamp").alias("_last")
     )
+    authors = history.groupBy("author_account_id").agg(F.count("*").alias("_n")).agg(F.count("author_account_id"))
+    return by_issue.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_changes"),
+        F.count("issue_key").alias("unique_issues"),
+        F.min("_first").alias("oldest_change"),
+        F.max("_last").alias("newest_change"),
+    ).select("total_changes", "unique_issues", authors.scalar().alias("unique_authors"), "oldest_change", "newest_change")
 
 
 def changes_per_field(history: DataFrame) -> DataFrame:
@@ -114,7 +125,10 @@ def change_type_map(history: DataFrame, by: str) -> DataFrame:
 
 
 def author_field_counts(history: DataFrame, since: Instant) -> DataFrame:
+    """Changes per author and field since an instant; stored history is read from its month on."""
     recent = history.where(F.col("change_timestamp") >= instant(since))
+    if MONTH in history.columns:
+        recent = recent.where(months_between(since))
     counted = recent.groupBy("author_display_name", "field_name").agg(F.count("*").alias("change_count"))
     return counted.orderBy(F.col("change_count").desc(), "author_display_name", "field_name")
 
@@ -216,12 +230,39 @@ def field_profile(documents: DataFrame, json_column: str) -> DataFrame:
     return typed.groupBy("field", "json_type").agg(F.count("*").alias("n"))
 
 
+def in_span(history: DataFrame, span: DateRange) -> DataFrame:
+    """Changes of a span; of stored history only its months are read."""
+    inside = history.where(span.condition("change_timestamp"))
+    return inside.where(months_between(span.start, span.end)) if MONTH in history.columns else inside
+
+
+def project_history_stats(history: DataFrame, issues: DataFrame, span: DateRange) -> DataFrame:
+    """Changes of a span per project and change type, with the issues and authors they touch.
+
+    The project of a change is that of its issue; every issue occurs once on that side, so
+    a project or an issue with very many changes is split by adaptive execution.
+    """
+    owners = issues.select(F.col("id").alias("issue_id"), "project_key")
+    owned = in_span(history, span).join(owners, "issue_id").where(F.col("project_key").isNotNull())
+    return with_change_group(owned).groupBy("project_key", "change_group").agg(
+        F.count("*").alias("changes"), F.min("change_timestamp").alias("first_change"),
+        F.max("change_timestamp").alias("last_change"),
+    )
+
+
+def top_authors_of(history: DataFrame, issues: DataFrame, project_key: str, k: int,
+                   span: DateRange | None = None) -> DataFrame:
+    """The ``k`` most active authors on the issues of one project."""
+    own = issues.where(F.col("project_key") == project_key).select(F.col("id").alias("issue_id"))
+    return top_authors(history.join(own, "issue_id", "left_semi").select(*history.columns), k, span)
+
+
 def top_authors(history: DataFrame, k: int, span: DateRange | None = None,
                 among: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """The ``k`` most active authors with the issues they touched, over a span and among
     the rows whose columns hold one of the listed values."""
     if span is not None:
-        history = history.where(span.condition("change_timestamp"))
+        history = in_span(history, span)
     for column, values in (among or {}).items():
         history = history.where(F.col(column).isin(list(values)))
     authored = history.where(F.col("author_account_id").isNotNull())

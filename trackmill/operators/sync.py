@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackmill.functions.instants import Instant, elapsed_micros, instant
+from trackmill.functions.instants import Instant, as_utc, elapsed_micros, instant
 from trackmill.operators.filters import TimeWindow
 from trackmill.operators.grouping import last_wins
-from trackmill.operators.joins import classify, exclude_unchanged, hot_keys
+from trackmill.operators.joins import classify
 from trackmill.operators.upsert import upsert
 from trackmill.session import durable
 
@@ -30,19 +31,50 @@ class SyncOutcome(NamedTuple):
 
 def fetch_changes(source: DataFrame, known: DataFrame, window: TimeWindow) -> DataFrame:
     """Issues of the window that are new or differ from their known version, classified."""
-    hot = hot_keys(source, "issue_key")
-    changed = exclude_unchanged(window.apply(source), known, hot=hot)
-    return classify(changed, known, hot=hot)
+    return classify(window.apply(source), known, version="updated")
 
 
-def incremental(source: DataFrame, known: DataFrame, since: Instant, as_of: Instant) -> SyncOutcome:
+def incremental(
+    source: DataFrame, known: DataFrame, since: Instant, as_of: Instant, failed: DataFrame | None = None
+) -> SyncOutcome:
     """Bring ``known`` up to ``source`` from the last successful run on.
 
     The fetched issues are few beside the table and used for every part of the outcome,
     so they are checkpointed once and not worked out for each.
     """
     fetched = durable(fetch_changes(source, known, TimeWindow.incremental_since(since, as_of)))
-    return SyncOutcome(fetched, merge(known, fetched), project_rollup(fetched, as_of))
+    return SyncOutcome(fetched, merge(known, fetched), project_rollup(fetched, as_of, failed))
+
+
+def last_success(runs: DataFrame, service: str, as_of: Instant, otherwise_hours: int = 24) -> Instant:
+    """When the service's last successful run ended, by the table of runs; without one,
+    ``otherwise_hours`` before ``as_of``.  One row comes to the driver."""
+    ended = runs.where(F.col("is_success") & (F.col("service") == service)).agg(
+        F.max_by("end_time", "run_id").alias("ended")
+    ).first()["ended"]
+    return ended if ended is not None else as_utc(as_of) - timedelta(hours=otherwise_hours)
+
+
+class SyncRun(NamedTuple):
+    outcome: SyncOutcome
+    record: DataFrame
+    runs: DataFrame
+
+
+def run_incremental(
+    source: DataFrame, known: DataFrame, runs: DataFrame, service: str, as_of: Instant,
+    failed: DataFrame | None = None,
+) -> SyncRun:
+    """Synchronise from where the table of runs says the last success ended, and add this
+    run to the table.  ``failed`` lists projects with an ``error_message``; a run with any
+    is no success, so the next one starts where this one did."""
+    since = last_success(runs, service, as_of)
+    outcome = incremental(source, known, since, as_of, failed)
+    last_id = runs.where(F.col("service") == service).agg(F.max("run_id")).first()[0]
+    record = run_record(
+        outcome.projects, service, (last_id or 0) + 1, since, as_of, failed=failed
+    )
+    return SyncRun(outcome, record, runs.unionByName(record, allowMissingColumns=True))
 
 
 def full(source: DataFrame, known: DataFrame, as_of: Instant) -> SyncOutcome:
@@ -80,24 +112,29 @@ def project_rollup(
 
 
 def run_record(projects: DataFrame, service: str, run_id: int, start: Instant, end: Instant,
-               deleted: DataFrame | None = None) -> DataFrame:
-    """One row for the table of runs, summed over the projects of a run."""
+               deleted: DataFrame | None = None, failed: DataFrame | None = None) -> DataFrame:
+    """One row for the table of runs, summed over the projects of a run, with the sorted
+    messages of its failed projects."""
     def summed(name: str):
         return F.coalesce(F.sum(name), F.lit(0)).alias(name)
 
     totals = projects.agg(*[summed(f"{kind}_count") for kind in ("synced", "new", "updated", "error")])
+    # One message per failed project of one run.
+    told = failed.agg(F.array_sort(F.collect_set("error_message"))).scalar() if failed is not None else F.array()
+    messages = told.cast("array<string>")
     gone = deleted.agg(F.count("*")).scalar() if deleted is not None else F.lit(0).cast("long")
     return totals.select(
         F.lit(service).alias("service"), F.lit(run_id).cast("long").alias("run_id"),
         instant(start).alias("start_time"), instant(end).alias("end_time"),
         "synced_count", "new_count", "updated_count", gone.alias("deleted_count"), "error_count",
         (F.col("error_count") == 0).alias("is_success"),
+        messages.alias("error_messages"),
     )
 
 
 def deleted_keys(known: DataFrame, snapshot: DataFrame, key: str = "issue_key") -> DataFrame:
     """Known keys that a full snapshot no longer has."""
-    return known.select(key).distinct().join(snapshot.select(key), key, "left_anti")
+    return known.select(key).distinct().join(snapshot.select(key).distinct(), key, "left_anti")
 
 
 def due(services: DataFrame, runs: DataFrame, interval_minutes: int, as_of: Instant) -> DataFrame:

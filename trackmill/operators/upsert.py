@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackmill.operators.grouping import last_wins
-from trackmill.operators.joins import spread_join
 
 
 def upsert(
@@ -20,20 +19,18 @@ def upsert(
     columns of ``incoming``.  Every column is replaced.
     """
     winners = last_wins(incoming, [key], order).select(*target.columns)
-    kept = target.join(incoming.select(key).distinct(), key, "left_anti")
+    kept = target.join(incoming.select(key), key, "left_anti")
     return kept.select(*target.columns).unionByName(winners)
 
 
-def delete_keys(rows: DataFrame, keys: DataFrame, key: str = "issue_key",
-                hot: DataFrame | None = None) -> DataFrame:
+def delete_keys(rows: DataFrame, keys: DataFrame, key: str = "issue_key") -> DataFrame:
     """Rows whose key is not listed; an empty list deletes nothing."""
-    return spread_join(rows, keys.select(key).distinct(), [key], "left_anti", hot)
+    return rows.join(keys.select(key), key, "left_anti").select(*rows.columns)
 
 
-def deleted_rows(rows: DataFrame, keys: DataFrame, key: str = "issue_key",
-                 hot: DataFrame | None = None) -> DataFrame:
+def deleted_rows(rows: DataFrame, keys: DataFrame, key: str = "issue_key") -> DataFrame:
     """The rows a delete removes; their count is what it reports."""
-    return spread_join(rows, keys.select(key).distinct(), [key], "left_semi", hot)
+    return rows.join(keys.select(key), key, "left_semi").select(*rows.columns)
 
 
 def duplicate_keys(issues: DataFrame, key: str = "issue_key", unique: str = "id") -> DataFrame:

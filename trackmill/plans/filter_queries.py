@@ -15,7 +15,7 @@ from trackmill.operators.filters import (
     open_issues,
     updated_within,
 )
-from trackmill.operators.ordering import load_history, load_issues
+from trackmill.operators.ordering import load_history, load_issues, numbered
 from trackmill.plans.registry import query
 from trackmill.plans.standins import (
     FLAT_SQL,
@@ -233,21 +233,24 @@ def f23(spark, sf_dir):
     return issues(spark, sf_dir).where(chunk).select("id", "created", "updated")
 
 
-@query("q_open_issues", f"""WITH {ISSUES_SQL} SELECT {BRIEF_SQL}, updated FROM issues
+@query("q_open_issues", f"""WITH {ISSUES_SQL} SELECT {BRIEF_SQL}, updated,
+  ROW_NUMBER() OVER (ORDER BY updated DESC, issue_key) AS position FROM issues
 WHERE resolution_date IS NULL AND status_name <> 'P'""")
 def open_ones(spark, sf_dir):
     found = issues(spark, sf_dir).where(open_issues("P"))
-    return found.orderBy(F.col("updated").desc(), "issue_key").select(*BRIEF, "updated")
+    return numbered(found.orderBy(F.col("updated").desc(), "issue_key").select(*BRIEF, "updated"))
 
 
-@query("q_recent_updates", f"""WITH {ISSUES_SQL} SELECT {BRIEF_SQL}, updated FROM issues
+@query("q_recent_updates", f"""WITH {ISSUES_SQL} SELECT {BRIEF_SQL}, updated,
+  ROW_NUMBER() OVER (ORDER BY updated DESC, issue_key) AS position FROM issues
 WHERE updated >= TIMESTAMP '2001-08-01' - INTERVAL 60 DAY""")
 def recent_updates(spark, sf_dir):
     recent = issues(spark, sf_dir).where(updated_within(60, ORDERS_AS_OF))
-    return recent.orderBy(F.col("updated").desc(), "issue_key").select(*BRIEF, "updated")
+    return numbered(recent.orderBy(F.col("updated").desc(), "issue_key").select(*BRIEF, "updated"))
 
 
-@query("q_f24", f"""WITH {OWNED_SQL} SELECT {BRIEF_SQL}, priority_name FROM owned_issues
+@query("q_f24", f"""WITH {OWNED_SQL} SELECT {BRIEF_SQL}, priority_name,
+  ROW_NUMBER() OVER (ORDER BY priority_name DESC NULLS LAST, issue_key) AS position FROM owned_issues
 WHERE issue_type_name = 'Epic' AND status_name <> 'F'
   AND (priority_name IN ('1-URGENT', '2-HIGH') OR assignee_display_name = 'Customer#000000037')
   AND project_key IN ('MACHINERY', 'FURNITURE')""")
@@ -256,7 +259,8 @@ def f24(spark, sf_dir):
     mine = F.col("assignee_display_name") == "Customer#000000037"
     found = IssueFilter(project_keys=["MACHINERY", "FURNITURE"]).apply(owned_issues(spark, sf_dir))
     found = found.where(of_type_not_in_status("Epic", "F") & (urgent | mine))
-    return found.orderBy(F.col("priority_name").desc_nulls_last(), "issue_key").select(*BRIEF, "priority_name")
+    ordered = found.orderBy(F.col("priority_name").desc_nulls_last(), "issue_key")
+    return numbered(ordered.select(*BRIEF, "priority_name"))
 
 
 @query("q_name_any_of", """SELECT p_partkey AS id, p_name AS summary, p_type AS issue_type_name

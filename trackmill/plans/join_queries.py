@@ -11,10 +11,10 @@ from trackmill.operators.joins import (
     chunk_index,
     classify,
     exclude_known,
-    hot_keys,
     join_history,
     keep_known,
 )
+from trackmill.operators.ordering import numbered
 from trackmill.operators.setops import concat, overlap, reconcile, reconcile_summary
 from trackmill.plans.registry import query
 from trackmill.plans.standins import HISTORY_SQL, OWNED_SQL, history, owned_issues, table
@@ -30,11 +30,12 @@ def _known(spark, sf_dir):
 
 
 @query("q_issue_history_join", f"""WITH {OWNED_SQL}, {HISTORY_SQL}
-SELECT i.id, i.issue_key, summary, change_id, field_name, to_display_value, change_timestamp
+SELECT i.id, i.issue_key, summary, change_id, field_name, to_display_value, change_timestamp,
+  ROW_NUMBER() OVER (ORDER BY change_timestamp DESC, i.issue_key, change_id) AS position
 FROM owned_issues i JOIN history h ON i.id = h.issue_id
 WHERE project_key = 'BUILDING' AND field_name = 'status'""")
 def issue_history_join(spark, sf_dir):
-    return join_history(owned_issues(spark, sf_dir), history(spark, sf_dir), "BUILDING", "status")
+    return numbered(join_history(owned_issues(spark, sf_dir), history(spark, sf_dir), "BUILDING", "status"))
 
 
 @query("q_exclude_existing", f"""SELECT c_custkey AS o_custkey, c_name FROM customer
@@ -62,8 +63,7 @@ FROM orders o WHERE o_orderdate >= {EARLIER_SQL}""")
 def classify_new_updated(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     fetched = orders.where(F.col("o_orderdate") >= instant(EARLIER))
-    hot = hot_keys(orders, "o_custkey")
-    return classify(fetched, _known(spark, sf_dir), "o_custkey", hot)
+    return classify(fetched, _known(spark, sf_dir), "o_custkey")
 
 
 @query("q_chunk_assign", """SELECT event_id, ts,
@@ -78,8 +78,9 @@ def chunk_assign(spark, sf_dir):
 @query("q_j5", """
 WITH span AS (SELECT MIN(o_orderdate) AS a, MAX(o_orderdate) AS b FROM orders)
 SELECT o_orderkey, o_orderdate,
-  ((EPOCH_US(o_orderdate) - EPOCH_US(a)) // (720 * 3600000000))::BIGINT AS chunk
-FROM orders, span WHERE o_orderdate < b""")
+  LEAST((EPOCH_US(o_orderdate) - EPOCH_US(a)) // (720 * 3600000000),
+        (EPOCH_US(b) - EPOCH_US(a) - 1) // (720 * 3600000000))::BIGINT AS chunk
+FROM orders, span""")
 def j5(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     chunks = covering_chunks(orders, "o_orderdate", 720).select("chunk", "chunk_start", "chunk_end")

@@ -12,7 +12,7 @@ from trackmill.operators.changelog import as_history, changelog_quarantine, pars
 from trackmill.operators.filters import HistoryFilter
 from trackmill.operators.grouping import last_wins
 from trackmill.operators.ordering import load_history
-from trackmill.operators.upsert import delete_keys
+from trackmill.operators.upsert import deleted_rows
 from trackmill.functions.changes import author_struct
 from trackmill.plans.registry import query
 from trackmill.plans.standins import (
@@ -148,9 +148,7 @@ def s11(spark, sf_dir):
     gone = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") < 0).select(
         F.concat(F.lit("S"), "s_suppkey").alias("author_account_id")
     )
-    kept = delete_keys(everything, gone, "author_account_id").agg(F.count("*").alias("kept"))
-    before = everything.agg(F.count("*")).scalar()
-    return kept.select((before - F.col("kept")).alias("removed"))
+    return deleted_rows(everything, gone, "author_account_id").agg(F.count("*").alias("removed"))
 
 
 @query("q_s12", """SELECT 'user' AS kind, COUNT(*) AS n, COUNT(DISTINCT c_name) AS names FROM customer
@@ -185,6 +183,37 @@ def s12(spark, sf_dir):
     return counted.select("kind", "n", "names")
 
 
+@query("q_s12_quarantine", """SELECT 'read' AS kind, COUNT(DISTINCT c_mktsegment) AS n FROM customer
+UNION ALL SELECT 'broken', 1""")
+def s12_quarantine(spark, sf_dir):
+    """Segments as a priority list, beside a file that was cut off while it was written."""
+    path = scratch_path(spark, "priorities")
+    names = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("name")).distinct()
+    names.select("name", F.lit("u").alias("self"), F.col("name").alias("id")).write.json(path)
+    spark.createDataFrame([('[{"id": "1", "na',)], "value string").coalesce(1).write.mode("append").text(path)
+    read = landing.read_dimension(spark, path, "priority", multi_line=False)
+    broken = landing.dimension_quarantine(spark, path, "priority", multi_line=False)
+    return read.agg(F.lit("read").alias("kind"), F.count("*").alias("n")).unionByName(
+        broken.agg(F.lit("broken").alias("kind"), F.count("*").alias("n"))
+    )
+
+
+@query("q_s2_array", f"""WITH {ISSUES_SQL}
+SELECT 'read' AS kind, COUNT(*) AS n FROM issues WHERE id IN (SELECT change_of FROM last_change)
+UNION ALL SELECT 'broken', COUNT(*) + 1 FROM issues WHERE id NOT IN (SELECT change_of FROM last_change)""")
+def s2_array(spark, sf_dir):
+    """Issues landed as arrays, one array per file, beside a file that was cut off."""
+    path = scratch_path(spark, "arrays")
+    pages = result_pages(issue_documents(spark, sf_dir), 200)
+    arrays = pages.select(F.get_json_object("value", "$.issues").alias("value"))
+    arrays.repartition(8).write.option("lineSep", "\n").text(path)
+    spark.createDataFrame([('[{"id": "1", "fie',)], "value string").coalesce(1).write.mode("append").text(path)
+    found = landing.read_issue_documents(spark, path, "array_lines")
+    return landing.rehydrate(found).agg(F.lit("read").alias("kind"), F.count("*").alias("n")).unionByName(
+        landing.issue_quarantine(found).agg(F.lit("broken").alias("kind"), F.count("*").alias("n"))
+    )
+
+
 @query("q_search_users", """SELECT c_custkey, c_name FROM customer
 WHERE CONTAINS(LOWER(c_name), '77') OR CONTAINS(LOWER(c_mktsegment), '77')""")
 def search_users(spark, sf_dir):
@@ -224,6 +253,14 @@ def changelog_bad(spark, sf_dir):
     return bad.select("issue_id", "issue_key", "change_id", "violation")
 
 
+@query("q_changelog_whole", f"""WITH {CHANGELOG_SQL}
+SELECT COUNT(*) AS n, COUNT(DISTINCT issue_key) AS issues FROM changes""")
+def changelog_whole(spark, sf_dir):
+    """Logs with an invalid entry are left out whole; here a log is one entry."""
+    parsed = parse_changelog(changelog_documents(spark, sf_dir), mode="issue")
+    return parsed.agg(F.count("*").alias("n"), F.count_distinct("issue_key").alias("issues"))
+
+
 @query("q_n1", f"""WITH {CHANGELOG_SQL} SELECT field_name, COUNT(*) AS n,
   COUNT(DISTINCT issue_id) AS issues, COUNT(from_value) AS with_from FROM changes GROUP BY field_name""")
 def n1(spark, sf_dir):

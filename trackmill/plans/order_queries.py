@@ -20,6 +20,7 @@ from trackmill.operators.ordering import (
     latest,
     load_history,
     load_issues,
+    numbered,
     page_after,
     take_page,
 )
@@ -44,24 +45,26 @@ SHOWN = ("id", "issue_key", "priority_name", "created")
 SHOWN_SQL = ", ".join(SHOWN)
 
 
-def _sorted_query(name: str, sort_order: str, with_updates: bool = False) -> None:
+def _sorted_query(name: str, sort_order: str, order_sql: str, with_updates: bool = False) -> None:
+    """A whole order, checked by the position each row comes out at."""
     view, sql = (issues, ISSUES_SQL) if with_updates else (owned_issues, OWNED_SQL)
     source = "issues" if with_updates else "owned_issues"
     shown = (*SHOWN, "updated") if with_updates else SHOWN
 
-    @query(name, f"WITH {sql} SELECT {', '.join(shown)} FROM {source}")
+    @query(name, f"""WITH {sql} SELECT {', '.join(shown)},
+      ROW_NUMBER() OVER (ORDER BY {order_sql}) AS position FROM {source}""")
     def run(spark, sf_dir):
-        return load_issues(view(spark, sf_dir), IssueFilter(sort_order=sort_order)).select(*shown)
+        return numbered(load_issues(view(spark, sf_dir), IssueFilter(sort_order=sort_order)).select(*shown))
 
 
-_sorted_query("q_o1", "created_asc")
-_sorted_query("q_o2", "created_desc")
-_sorted_query("q_o3", "updated_asc", with_updates=True)
-_sorted_query("q_o4", "updated_desc", with_updates=True)
-_sorted_query("q_o5", "key_asc")
-_sorted_query("q_o6", "key_desc")
-_sorted_query("q_sort_priority", "priority_asc")
-_sorted_query("q_o8", "priority_desc")
+_sorted_query("q_o1", "created_asc", "created, issue_key, id")
+_sorted_query("q_o2", "created_desc", "created DESC, issue_key, id")
+_sorted_query("q_o3", "updated_asc", "updated, issue_key, id", with_updates=True)
+_sorted_query("q_o4", "updated_desc", "updated DESC, issue_key, id", with_updates=True)
+_sorted_query("q_o5", "key_asc", "issue_key, id")
+_sorted_query("q_o6", "key_desc", "issue_key DESC, id")
+_sorted_query("q_sort_priority", "priority_asc", "priority_name NULLS LAST, issue_key, id")
+_sorted_query("q_o8", "priority_desc", "priority_name DESC NULLS LAST, issue_key, id")
 
 RANKS = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "5-LOW": 4}
 
@@ -74,10 +77,18 @@ def o7(spark, sf_dir):
     return take_page(owned_issues(spark, sf_dir), order, limit=200).select(*SHOWN)
 
 
-@query("q_o9", f"""WITH {HISTORY_SQL} SELECT issue_key, change_id, field_name, change_timestamp FROM history""")
-def o9(spark, sf_dir):
-    ordered = load_history(history(spark, sf_dir), HistoryFilter(sort_order="timestamp_desc"), HISTORY_TIES)
-    return ordered.select("issue_key", "change_id", "field_name", "change_timestamp")
+def _sorted_history_query(name: str, sort_order: str, order_sql: str) -> None:
+    @query(name, f"""WITH {HISTORY_SQL} SELECT issue_key, change_id, field_name, change_timestamp,
+      ROW_NUMBER() OVER (ORDER BY {order_sql}) AS position FROM history""")
+    def run(spark, sf_dir):
+        ordered = load_history(history(spark, sf_dir), HistoryFilter(sort_order=sort_order), HISTORY_TIES)
+        return numbered(ordered.select("issue_key", "change_id", "field_name", "change_timestamp"))
+
+
+_sorted_history_query("q_o9", "timestamp_desc", "change_timestamp DESC, issue_key, change_id, field_name")
+_sorted_history_query("q_o9_oldest", "timestamp_asc", "change_timestamp, issue_key, change_id, field_name")
+_sorted_history_query("q_o9_key", "issue_key", "issue_key, change_id, field_name")
+_sorted_history_query("q_o9_field", "field_name", "field_name, issue_key, change_id")
 
 
 @query("q_topk", f"""WITH {OWNED_SQL} SELECT {SHOWN_SQL} FROM owned_issues
@@ -97,7 +108,7 @@ def page(spark, sf_dir):
 ORDER BY created, issue_key, id OFFSET 400""")
 def o11(spark, sf_dir):
     spec = IssueFilter(sort_order="created_asc", offset=400)
-    return load_issues(owned_issues(spark, sf_dir).select(*SHOWN), spec)
+    return load_issues(owned_issues(spark, sf_dir).select(*SHOWN), spec, positions=True)
 
 
 @query("q_o12", f"""WITH {OWNED_SQL}, numbered AS (
@@ -164,11 +175,12 @@ def top_per_project(spark, sf_dir):
 
 
 @query("q_timeline", f"""WITH {HISTORY_SQL} SELECT issue_key, change_timestamp, change_id,
-  field_name, from_display_value, to_display_value FROM history""")
+  field_name, from_display_value, to_display_value,
+  ROW_NUMBER() OVER (ORDER BY issue_key, change_timestamp, change_id, field_name) AS position FROM history""")
 def issue_timeline(spark, sf_dir):
-    return timeline(history(spark, sf_dir), ["change_id", "field_name"]).select(
+    return numbered(timeline(history(spark, sf_dir), ["change_id", "field_name"]).select(
         "issue_key", "change_timestamp", "change_id", "field_name", "from_display_value", "to_display_value"
-    )
+    ))
 
 
 # --- upsert and delete -------------------------------------------------------

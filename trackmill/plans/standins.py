@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmill.session import durable
-from trackmill.sources.landing import spread_scan
 
 # Fixed reference times instead of the clock: end of the orders and of the events.
 ORDERS_AS_OF = "2001-08-01 00:00:00"
@@ -37,11 +36,11 @@ flat_issues AS (
 """
 
 
-def flat_issues(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def flat_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Issues as far as ``orders`` alone describes them."""
     price = F.col("o_totalprice")
     orders = table(spark, sf_dir, "orders")
-    return (spread_scan(orders) if spread else orders).select(
+    return orders.select(
         F.col("o_orderkey").cast("string").alias("id"),
         "o_custkey",
         F.col("o_orderstatus").alias("status_name"),
@@ -63,7 +62,7 @@ owned_issues AS (
 """
 
 
-def owned_issues(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def owned_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Issues with project and people, from ``orders`` and ``customer``.
 
     One segment stands for issues without a project, a negative balance for unassigned.
@@ -71,7 +70,7 @@ def owned_issues(spark: SparkSession, sf_dir: str, spread: bool = False) -> Data
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "c_acctbal"
     )
-    return flat_issues(spark, sf_dir, spread).join(customers, "o_custkey").select(
+    return flat_issues(spark, sf_dir).join(customers, "o_custkey").select(
         "id",
         F.concat_ws("-", "c_mktsegment", "id").alias("issue_key"),
         F.concat(F.lit("Order "), "id", F.lit(" placed by "), "c_name").alias("summary"),
@@ -248,7 +247,7 @@ def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     An issue without any change has no ``updated`` and so does not parse.  Descriptions
     of open issues are rich text, the others plain.
     """
-    issues = owned_issues(spark, sf_dir, spread=True)
+    issues = owned_issues(spark, sf_dir)
     rows = issues.join(last_changes(spark, sf_dir), "id", "left")
     updated = F.greatest("created", "changed")
     rows = rows.withColumn("updated", F.when(F.col("changed").isNotNull(), updated))
@@ -335,7 +334,7 @@ def changelog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    return spread_scan(lines).select(
+    return lines.select(
         F.col("l_orderkey").cast("string").alias("issue_id"),
         F.concat(F.lit("ORD-"), "l_orderkey").alias("issue_key"),
         F.to_json(F.struct(F.array(entry).alias("histories"))).alias("changelog"),
@@ -351,9 +350,9 @@ entries AS (
          CASE WHEN l_discount > 0 THEN 'S' || l_suppkey END AS author_account_id,
          CASE WHEN l_discount > 0 THEN 'Supplier ' || l_suppkey END AS author_display_name,
          l_linestatus, l_returnflag, l_tax, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity,
-         CASE WHEN l_tax = 0 AND l_discount = 0 THEN 'missing created timestamp in history'
+         CASE WHEN l_tax = 0 AND l_discount = 0 THEN 'no-time'
               WHEN l_discount > 0 AND l_quantity = 50
-              THEN 'author without account id or display name' END AS violation
+              THEN 'author-incomplete' END AS violation
   FROM lineitem),
 changes AS (
   SELECT issue_id, issue_key, change_id, change_timestamp, author_account_id,

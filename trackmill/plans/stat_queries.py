@@ -8,6 +8,7 @@ from trackmill.functions.instants import instant
 from trackmill.operators import stats
 from trackmill.operators.filters import DateRange, IssueFilter
 from trackmill.operators.joins import classify
+from trackmill.operators.ordering import numbered
 from trackmill.operators.sync import project_rollup
 from trackmill.plans.registry import query
 from trackmill.plans.standins import (
@@ -26,6 +27,8 @@ from trackmill.plans.standins import (
     runs,
     table,
 )
+from trackmill.session import scratch_path
+from trackmill.sources.tables import overwrite_history
 
 
 @query("q_a1", "SELECT COUNT(*) AS total_issues FROM orders")
@@ -101,10 +104,12 @@ def a9(spark, sf_dir):
 
 
 @query("q_author_field", f"""WITH {HISTORY_SQL} SELECT author_display_name, field_name,
-  COUNT(*) AS change_count FROM history WHERE change_timestamp >= TIMESTAMP '1998-01-01'
+  COUNT(*) AS change_count,
+  ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, author_display_name NULLS FIRST, field_name) AS position
+FROM history WHERE change_timestamp >= TIMESTAMP '1998-01-01'
 GROUP BY author_display_name, field_name""")
 def author_field(spark, sf_dir):
-    return stats.author_field_counts(history(spark, sf_dir), "1998-01-01")
+    return numbered(stats.author_field_counts(history(spark, sf_dir), "1998-01-01"))
 
 
 @query("q_assignee_top", f"""WITH {OWNED_SQL}
@@ -219,6 +224,31 @@ def field_profile(spark, sf_dir):
     return stats.field_profile(table(spark, sf_dir, "events"), "props")
 
 
+@query("q_project_history_stats", f"""WITH {OWNED_SQL}, {HISTORY_SQL}
+SELECT project_key, CASE WHEN field_name = 'status' THEN 'Status Changes' WHEN field_name = 'assignee' THEN 'Assignee Changes'
+    WHEN field_name = 'priority' THEN 'Priority Changes' WHEN field_id IS NOT NULL THEN 'Custom Field Changes'
+    ELSE 'Other Changes' END AS change_group,
+  COUNT(*) AS changes, MIN(change_timestamp) AS first_change, MAX(change_timestamp) AS last_change
+FROM history JOIN owned_issues i ON issue_id = i.id
+WHERE project_key IS NOT NULL AND change_timestamp BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1999-12-31'
+GROUP BY 1, 2""")
+def project_history_stats(spark, sf_dir):
+    """Read from the stored history, of which the span's months are enough."""
+    path = scratch_path(spark, "history")
+    overwrite_history(history(spark, sf_dir), path)
+    return stats.project_history_stats(
+        spark.read.parquet(path), owned_issues(spark, sf_dir), DateRange("1997-01-01", "1999-12-31")
+    )
+
+
+@query("q_project_top_authors", f"""WITH {OWNED_SQL}, {HISTORY_SQL}
+SELECT author_account_id, COUNT(*) AS changes, COUNT(DISTINCT h.issue_key) AS issues
+FROM history h JOIN owned_issues i ON issue_id = i.id WHERE project_key = 'BUILDING'
+GROUP BY author_account_id ORDER BY changes DESC, author_account_id LIMIT 20""")
+def project_top_authors(spark, sf_dir):
+    return stats.top_authors_of(history(spark, sf_dir), owned_issues(spark, sf_dir), "BUILDING", 20)
+
+
 @query("q_top_authors", f"""WITH {HISTORY_SQL} SELECT author_account_id, COUNT(*) AS changes,
   COUNT(DISTINCT issue_key) AS issues FROM history
 WHERE change_timestamp BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1999-12-31'

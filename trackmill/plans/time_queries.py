@@ -109,6 +109,46 @@ def t4(spark, sf_dir):
     return sync.full(source, _known(spark, sf_dir), ORDERS_AS_OF).fetched
 
 
+@query("q_t4_merged", f"""WITH {ISSUES_SQL} SELECT {', '.join(STATE)} FROM issues""")
+def t4_merged(spark, sf_dir):
+    source = issues(spark, sf_dir).select(*STATE)
+    return sync.full(source, _known(spark, sf_dir), ORDERS_AS_OF).merged
+
+
+@query("q_sync_rounds", f"""WITH {ISSUES_SQL}, {KNOWN_SQL},
+merged AS (
+  SELECT id, issue_key, updated FROM fetched
+  UNION ALL SELECT id, issue_key, updated FROM known WHERE id NOT IN (SELECT id FROM fetched)),
+fetched_next AS (
+  SELECT i.project_key, CASE WHEN k.id IS NULL THEN 'new' ELSE 'updated' END AS sync_kind
+  FROM issues i LEFT JOIN merged k ON i.issue_key = k.issue_key
+  WHERE (i.created BETWEEN TIMESTAMP '2001-08-01' AND TIMESTAMP '2001-08-02'
+      OR i.updated BETWEEN TIMESTAMP '2001-08-01' AND TIMESTAMP '2001-08-02')
+    AND (k.updated IS NULL OR k.updated <> i.updated))
+SELECT 'issues' AS service, CAST(run_id AS BIGINT) AS run_id, start_time, end_time, synced_count, new_count,
+  updated_count, CAST(0 AS BIGINT) AS error_count, TRUE AS is_success FROM (
+  SELECT 2 AS run_id, {SINCE_SQL} AS start_time, TIMESTAMP '2001-08-01' AS end_time, COUNT(*) AS synced_count,
+    COUNT(*) FILTER (sync_kind = 'new') AS new_count, COUNT(*) FILTER (sync_kind = 'updated') AS updated_count
+  FROM fetched WHERE project_key IS NOT NULL
+  UNION ALL SELECT 3, TIMESTAMP '2001-08-01', TIMESTAMP '2001-08-02', COUNT(*),
+    COUNT(*) FILTER (sync_kind = 'new'), COUNT(*) FILTER (sync_kind = 'updated')
+  FROM fetched_next WHERE project_key IS NOT NULL)
+UNION ALL SELECT 'issues', 1, {SINCE_SQL} - INTERVAL 1 HOUR, {SINCE_SQL}, 0, 0, 0, 0, TRUE""")
+def sync_rounds(spark, sf_dir):
+    """Two rounds, each from where the table of runs says that the one before ended."""
+    source, known = issues(spark, sf_dir).select(*STATE), _known(spark, sf_dir)
+    zero = F.lit(0).cast("long")
+    first = spark.range(1, 2).select(
+        F.lit("issues").alias("service"), F.col("id").alias("run_id"),
+        (instant(SINCE) - F.expr("INTERVAL 1 HOUR")).alias("start_time"), instant(SINCE).alias("end_time"),
+        *[zero.alias(f"{kind}_count") for kind in ("synced", "new", "updated", "error")],
+        F.lit(True).alias("is_success"),
+    )
+    one = sync.run_incremental(source, known, first, "issues", ORDERS_AS_OF)
+    two = sync.run_incremental(source, one.outcome.merged, one.runs, "issues", "2001-08-02 00:00:00")
+    return two.runs.select(*first.columns)
+
+
 @query("q_deleted_keys", """SELECT DISTINCT user_id FROM events
 WHERE user_id NOT IN (SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-29')""")
 def deleted(spark, sf_dir):
@@ -151,7 +191,7 @@ GROUP BY 1, 2 HAVING TIME_BUCKET(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR
 def stream_counts(spark, sf_dir):
     """Changes per field and hour, as far as the watermark has closed the hours."""
     schema = table(spark, sf_dir, "events").schema
-    stream = streams.drops(spark, sf_dir, schema, "ts", pattern="events.parquet")
+    stream = streams.drops(spark, f"{sf_dir}/events.parquet", schema, "ts")
     counts = streams.counts_per_field(stream, "ts", "event_type", "1 hour", "1 hour")
     out = streams.run_to_end(counts, scratch_path(spark, "counts"), scratch_path(spark, "offsets"))
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
@@ -160,16 +200,20 @@ def stream_counts(spark, sf_dir):
 @query("q_t3", """SELECT user_id AS id, ARG_MAX(event_type, ts) AS event_type, MAX(ts) AS updated
 FROM events GROUP BY user_id""")
 def stream_upsert(spark, sf_dir):
-    """Later events streamed as upserts into the state of the earlier ones."""
+    """Later events streamed as upserts into the state of the earlier ones, the newest drop
+    first and one drop per micro-batch."""
     source = table(spark, sf_dir, "events")
     base, changes = scratch_path(spark, "base"), scratch_path(spark, "changes")
     drop = scratch_path(spark, "drops")
-    source.where(F.col("ts") >= instant("2024-01-15")).write.parquet(drop)
+    later = source.where(F.col("ts") >= instant("2024-01-15"))
+    days = [instant(f"2024-01-{day}") for day in (15, 20, 25)] + [instant("2100-01-01")]
+    for start, end in reversed(list(zip(days, days[1:], strict=False))):
+        later.where((F.col("ts") >= start) & (F.col("ts") < end)).coalesce(1).write.mode("append").parquet(drop)
     shaped = [F.col("user_id").alias("id"), "event_type", F.col("ts").cast("timestamp").alias("updated")]
     earlier = source.where(F.col("ts") < instant("2024-01-15")).select(*shaped)
     store = ChangeTable(spark, base, changes)
     save_table(last_wins(earlier, ["id"], [F.col("updated").desc()]), base)
-    stream = streams.drops(spark, drop, source.schema, "ts").select(*shaped)
+    stream = streams.drops(spark, drop, source.schema, "ts", files_per_trigger=1).select(*shaped)
     streams.upsert_stream(stream, store, scratch_path(spark, "offsets")).awaitTermination()
     return store.current().withColumn("updated", F.col("updated").cast("timestamp_ntz"))
 

@@ -22,16 +22,6 @@ def _missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def spread_scan(scan: DataFrame) -> DataFrame:
-    """``scan`` with at least as many partitions as there are cores.
-
-    Parsing JSON costs far more than moving its text, so a scan of a few large files that
-    do not split is dealt out first.  A scan with enough splits is left as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Search pages, one JSON document per line, or per file when ``multi_line``."""
     schema = StructType([*PAGE.fields, StructField(_CORRUPT, StringType())])
@@ -62,30 +52,59 @@ def bad_pages(pages: DataFrame) -> DataFrame:
 def read_issue_documents(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
     """Issue documents as ``raw_json``; compressed files read by their extension.
 
-    ``lines`` is one document per line and splits over tasks.  ``array`` is one JSON
-    array per file, which a single task has to read.  A missing path gives no rows.
+    ``lines`` is one document per line and splits over tasks; ``array_lines`` is one array
+    of documents per line and splits as well.  ``array`` is one JSON array per file, which
+    a single task has to read whole: land large arrays as lines.  A damaged array is one
+    document, its text, which then fails to parse and ends in the quarantine.  A missing
+    path gives no rows.
     """
-    if layout not in ("lines", "array"):
-        raise ValueError("layout is lines or array")
+    if layout not in ("lines", "array", "array_lines"):
+        raise ValueError("layout is lines, array_lines or array")
     try:
         text = spark.read.text(path, wholetext=layout == "array")
     except AnalysisException as error:
         if not _missing(error):
             raise
         return spark.createDataFrame([], "raw_json string")
-    if layout == "array":
-        return text.select(F.explode(F.from_json("value", "array<string>")).alias("raw_json"))
+    if layout != "lines":
+        listed = F.coalesce(F.from_json("value", "array<string>"), F.array("value"))
+        return text.where(F.trim("value") != "").select(F.explode(listed).alias("raw_json"))
     return text.select(F.col("value").alias("raw_json")).where(F.trim("raw_json") != "")
 
 
 def read_dimension(spark: SparkSession, path: str, kind: str, multi_line: bool = True) -> DataFrame:
-    """One of the dimension lists; a landed file is a JSON array of records."""
+    """One of the dimension lists; a landed file is a JSON array of records.
+
+    What does not parse is left to :func:`dimension_quarantine`."""
+    landed = _dimension(spark, path, kind, multi_line)
+    # Spark wants another column beside the corrupt one; a corrupt record has no first member.
+    first = F.col(DIMENSIONS[kind].fields[0].name)
+    return landed.where(F.col(_CORRUPT).isNull() | (first == F.col(_CORRUPT))).drop(_CORRUPT)
+
+
+def _dimension(spark: SparkSession, path: str, kind: str, multi_line: bool) -> DataFrame:
+    schema = StructType([*DIMENSIONS[kind].fields, StructField(_CORRUPT, StringType())])
     try:
-        return spark.read.schema(DIMENSIONS[kind]).option("multiLine", multi_line).json(path)
+        reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT)
+        return reader.option("multiLine", multi_line).json(path)
     except AnalysisException as error:
         if not _missing(error):
             raise
-        return spark.createDataFrame([], DIMENSIONS[kind])
+        return spark.createDataFrame([], schema)
+
+
+def dimension_quarantine(spark: SparkSession, path: str, kind: str, multi_line: bool = True) -> DataFrame:
+    """Files or lines of a dimension list that do not parse, as ``raw_json``, and records
+    that lack a required member, with the ``reason``."""
+    landed = _dimension(spark, path, kind, multi_line)
+    lacks = F.coalesce(*[
+        F.when(F.col(field.name).isNull(), f"missing {field.name}") for field in DIMENSIONS[kind].fields if not field.nullable
+    ])
+    broken = F.when(F.col(_CORRUPT).isNotNull(), "malformed record").otherwise(lacks)
+    record = F.to_json(F.struct(*[F.col(field.name) for field in DIMENSIONS[kind].fields]))
+    return landed.select(F.coalesce(F.col(_CORRUPT), record).alias("raw_json"), broken.alias("reason")).where(
+        F.col("reason").isNotNull()
+    )
 
 
 def search_users(users: DataFrame, term: str,

@@ -6,37 +6,37 @@ last drop it finished.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from trackmill.sources.tables import ChangeTable
 
 
 def drops(spark: SparkSession, path: str, schema: StructType, timestamp: str,
-          files_per_trigger: int = 1000, pattern: str | None = None) -> DataFrame:
-    """Parquet drops under ``path`` as a stream with a zoned event time, which a
-    watermark needs."""
+          files_per_trigger: int = 1000) -> DataFrame:
+    """Parquet drops at ``path``, a folder or a file, as a stream with a zoned event time,
+    which a watermark needs.  ``files_per_trigger`` bounds a micro-batch, no result."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
     return reader.parquet(path).withColumn(timestamp, F.col(timestamp).cast("timestamp"))
 
 
-def deduplicated(stream: DataFrame, key: str, timestamp: str, delay: str) -> DataFrame:
+def deduplicated(stream: DataFrame, key: str, timestamp: str, delay: str,
+                 repeated: bool = False) -> DataFrame:
     """First arrival per key.
 
     State lives as long as the watermark allows; a repeat arriving later than ``delay``
-    is dropped as late.  Copies are first removed per source partition, so that a key
-    repeated very often does not end in one task.
+    is dropped as late.  ``repeated`` is for keys of which some occur very often in a
+    batch: copies are then removed per source partition first, which keeps state twice.
     """
-    watched = stream.withWatermark(timestamp, delay).withColumn("_part", F.spark_partition_id())
-    return (
-        watched.dropDuplicatesWithinWatermark([key, "_part"])
-        .drop("_part")
-        .dropDuplicatesWithinWatermark([key])
-    )
+    watched = stream.withWatermark(timestamp, delay)
+    if repeated:
+        parted = watched.withColumn("_part", F.spark_partition_id())
+        watched = parted.dropDuplicatesWithinWatermark([key, "_part"]).drop("_part")
+    return watched.dropDuplicatesWithinWatermark([key])
 
 
 def counts_per_field(stream: DataFrame, timestamp: str, field_name: str, width: str,
@@ -68,20 +68,36 @@ def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
 def upsert_stream(stream: DataFrame, table: ChangeTable, checkpoint: str) -> StreamingQuery:
     """Take every micro-batch into ``table``; the caller awaits the query.
 
-    A batch replayed after a failure overwrites itself.
+    A batch replayed after a failure overwrites itself.  Batches are stored under the
+    checkpoint they are counted by, so a query with a new checkpoint, which counts from 0
+    again, replaces none of an earlier one.
     """
+    source = "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     return (
-        stream.writeStream.foreachBatch(lambda batch, number: table.take_in(batch, number))
+        stream.writeStream.foreachBatch(lambda batch, number: table.take_in(batch, number, source))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def dropped_as_late(query: StreamingQuery) -> int:
-    """Rows a query dropped for arriving after the watermark, over its recent progress."""
-    return sum(
-        int(operator.numRowsDroppedByWatermark)
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )
+class LateRows(StreamingQueryListener):
+    """Rows that the queries of a session dropped for arriving after the watermark, by
+    query, over all their progress; register it with ``spark.streams.addListener``."""
+
+    def __init__(self) -> None:
+        self.by_query: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.by_query.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        dropped = sum(int(operator.numRowsDroppedByWatermark) for operator in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.by_query[key] = self.by_query.get(key, 0) + dropped
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
