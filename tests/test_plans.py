@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from trackmill.operators.grouping import first_seen, latest_per_project
+from trackmill.operators.ordering import issue_order, take_page
 from trackmill.operators.stats import storage_stats
 from trackmill.plans.registry import REGISTRY
 from trackmill.plans.standins import owned_issues, table
@@ -17,7 +18,7 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test table
 # Queries that write or stream do so when they are built.
 EAGER = {"q_scan_pages", "q_s2", "q_s3", "q_s6", "q_s8", "q_s9", "q_s12", "q_s14", "q_s15",
          "q_t3", "q_t6", "q_t7", "q_o11", "q_o12", "q_incremental", "q_a17", "q_sync_rounds",
-         "q_project_history_stats"}
+         "q_project_history_stats", "q_f7_stored", "q_f17_stored", "q_s12_quarantine", "q_s2_array"}
 
 
 def plan(df) -> str:
@@ -73,5 +74,36 @@ def test_statistics_read_the_issues_once(spark):
 
 
 def test_aggregates_combine_before_the_shuffle(spark):
-    for name in ("q_by_project", "q_field_counts", "q_author_field", "q_chunk_counts", "q_u2"):
+    for name in ("q_by_project", "q_field_counts", "q_chunk_counts", "q_u2"):
         assert "partial_" in plan(run(spark, name)), name
+
+
+@pytest.mark.parametrize("name, tables", [
+    ("q_exclude_existing", ["customer", "orders"]), ("q_j3", ["lineitem", "orders"]),
+])
+def test_key_joins_read_each_input_once(spark, name, tables):
+    text = plan(run(spark, name))
+    assert [text.count(f"{table_}.parquet") for table_ in tables] == [1] * len(tables)
+    assert "approx_top_k" not in text
+
+
+def test_texts_are_not_moved_to_find_their_copies(spark):
+    text = plan(run(spark, "q_w1"))
+    below = text[text.index("Exchange"):]
+    assert "sha2" in below and "text#" not in text[:text.rindex("Exchange")]
+
+
+def test_history_statistics_multiply_no_row(spark):
+    assert "Expand" not in plan(run(spark, "q_history_stats"))
+
+
+@pytest.mark.parametrize("name, bound", [("q_f7_stored", "created_date"), ("q_f17_stored", "change_month")])
+def test_stored_tables_are_pruned(spark, name, bound):
+    assert f"PartitionFilters: [isnotnull({bound}" in plan(run(spark, name))
+
+
+def test_deep_limits_start_no_job(spark):
+    rows = owned_issues(spark, SF_DIR)  # reading a schema is a job
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    take_page(rows, issue_order("created_desc"), limit=100_001)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before

@@ -28,11 +28,15 @@ from trackmill.plans.standins import (
     document_issues,
     flat_issues,
     history,
+    issue_documents,
     issues,
     labelled_documents,
     owned_issues,
     part_issues,
 )
+from trackmill.session import scratch_path
+from trackmill.sources.landing import flatten_issues
+from trackmill.sources.tables import CREATED_DATE, overwrite_history, save_issues
 
 BRIEF = ("id", "issue_key", "project_key", "status_name", "created")
 BRIEF_SQL = ", ".join(BRIEF)
@@ -118,6 +122,34 @@ def f11(spark, sf_dir):
     return IssueFilter(labels=["toxic", "fr"]).apply(labelled).select("id", "lang")
 
 
+@query("q_f11_documents", f"""WITH {ISSUES_SQL} SELECT id, status_name FROM issues
+WHERE id IN (SELECT change_of FROM last_change) AND (status_name = 'P' OR issue_type_name = 'Epic')""")
+def f11_documents(spark, sf_dir):
+    """Labels as landed issue documents carry them."""
+    found = IssueFilter(labels=["p", "epic"]).apply(flatten_issues(issue_documents(spark, sf_dir)))
+    return found.select("id", "status_name")
+
+
+@query("q_f7_stored", f"WITH {FLAT_SQL} SELECT id, created FROM flat_issues WHERE created BETWEEN "
+       "TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-02-28'")
+def f7_stored(spark, sf_dir):
+    """The same range over issues stored by the date they were created."""
+    path = scratch_path(spark, "issues")
+    save_issues(flat_issues(spark, sf_dir), path)
+    spec = IssueFilter(created_range=DateRange("1997-01-01", "1997-02-28"))
+    return spec.apply(spark.read.parquet(path), CREATED_DATE).select("id", "created")
+
+
+@query("q_f17_stored", f"""WITH {HISTORY_SQL} SELECT issue_key, change_id, change_timestamp FROM history
+WHERE change_timestamp BETWEEN TIMESTAMP '1998-03-01' AND TIMESTAMP '1998-03-31'""")
+def f17_stored(spark, sf_dir):
+    """A range over stored history, of which one month is read."""
+    path = scratch_path(spark, "history")
+    overwrite_history(history(spark, sf_dir), path)
+    spec = HistoryFilter(date_range=DateRange("1998-03-01", "1998-03-31"))
+    return spec.apply(spark.read.parquet(path)).select("issue_key", "change_id", "change_timestamp")
+
+
 @query("q_filter_combo", f"""
 WITH {ISSUES_SQL} SELECT {BRIEF_SQL}, priority_name, updated FROM issues
 WHERE project_key IN ('AUTOMOBILE', 'BUILDING') AND status_name IN ('O', 'P')

@@ -74,12 +74,13 @@ FIELD = StructType([
 ])
 
 # `description` is text or a rich-text object; read as text, an object arrives as its JSON.
+# `labels` are read as text too, so that odd labels do not spoil the document.
 ISSUE_FIELDS = StructType([
     _text("summary", True), _text("description"), StructField("issuetype", ISSUE_TYPE, False),
     StructField("priority", PRIORITY, True), StructField("status", STATUS, False),
     StructField("assignee", USER, True), StructField("reporter", USER, False),
     _text("created", True), _text("updated", True), _text("resolutiondate"),
-    StructField("project", PROJECT, True),
+    StructField("project", PROJECT, True), _text("labels"),
 ])
 
 ISSUE_DOCUMENT = StructType([

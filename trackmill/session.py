@@ -7,9 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# What the library wants of a session.  Partition counts are left to the cluster:
-# adaptive execution coalesces from a generous start, so a number fixed here would
-# only be right for one data size.
+# What the library wants of a session.  Partition counts are left to the cluster, since a
+# number fixed here would only be right for one data size: adaptive execution coalesces but
+# never adds partitions, so set ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``
+# (or ``spark.sql.shuffle.partitions``) to suit the largest shuffle, about 128 MB to each.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

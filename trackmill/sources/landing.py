@@ -180,6 +180,7 @@ def flatten_issues(documents: DataFrame) -> DataFrame:
         F.col("_created").alias("created"),
         F.col("_updated").alias("updated"),
         parse_instant(F.col(f"{fields}.resolutiondate")).alias("resolution_date"),
+        F.from_json(f"{fields}.labels", "array<string>").alias("labels"),
         "raw_json",
     )
 
