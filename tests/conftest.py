@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import sys
-from datetime import datetime, timedelta
+from datetime import timedelta
 from pathlib import Path
 
 import pytest
@@ -9,10 +9,9 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from trackmill.session import build_session  # noqa: E402
-
-T0 = datetime(2024, 6, 1)
+from generated import HISTORY_COLUMNS, ISSUE_COLUMNS, ISSUES, T0  # noqa: E402
 
+from trackmill.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -27,47 +26,16 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-ISSUE_COLUMNS = (
-    "id string, issue_key string, summary string, description string, status_name string, "
-    "priority_name string, issue_type_name string, project_key string, "
-    "reporter_display_name string, assignee_display_name string, created timestamp, "
-    "updated timestamp, resolution_date timestamp"
-)
-
-
-def perf_rows(count: int):
-    """Generated issues over five projects, four statuses, types and priorities."""
-    for i in range(count):
-        project = f"PROJ{1 + i % 5}"
-        status = ("Open", "In Progress", "Done", "Closed")[i % 4]
-        reporter = f"User {1 + i % 10}"
-        updated = T0 - timedelta(hours=i % 24)
-        yield (
-            str(50000 + i), f"{project}-{i}", f"Issue number {i}", f"Text 100% of_{i}", status,
-            ("Critical", "High", "Medium", "Low")[i % 4], ("Bug", "Story", "Task", "Epic")[i % 4],
-            project, reporter, reporter if i % 3 == 0 else None, T0 - timedelta(days=i % 365),
-            updated, updated if i % 4 >= 2 else None,
-        )
-
-
 @pytest.fixture(scope="session")
 def issues(spark):
-    return spark.createDataFrame(list(perf_rows(500)), ISSUE_COLUMNS).cache()
-
-
-HISTORY_COLUMNS = (
-    "history_id long, issue_id string, issue_key string, change_id string, change_timestamp timestamp, "
-    "author_account_id string, author_display_name string, author_email string, field_name string, "
-    "field_id string, from_value string, to_value string, from_display_value string, "
-    "to_display_value string"
-)
+    return spark.createDataFrame(ISSUES, ISSUE_COLUMNS).cache()
 
 
 @pytest.fixture(scope="session")
 def history(spark):
     rows = [
-        (i, str(1 + i % 10), f"TEST-{1 + i % 10}", f"c{i}", T0 - timedelta(hours=i), f"user-{i % 5}",
-         f"User {i % 5}", None, ("status", "assignee", "priority", "summary")[i % 4], None, None, "x",
+        (i, str(1 + i % 10), f"TYPE-{1 + i % 10}", f"c{i}", T0 - timedelta(hours=i), f"user-{i % 5}",
+         f"Hand {i % 5}", None, ("status", "assignee", "priority", "summary")[i % 4], None, None, "x",
          None, "X")
         for i in range(30)
     ]

@@ -1,7 +1,7 @@
 from datetime import timedelta
 
 import pytest
-from conftest import T0
+from generated import ISSUES, T0, number
 from pyspark.sql import functions as F
 
 from trackmill.operators.chunks import rows_per_chunk, time_chunks, window_chunks
@@ -47,8 +47,11 @@ def test_retention(spark):
 
 def test_latest_per_project(issues):
     rows = latest_per_project(issues).collect()
-    assert len(rows) == 15
-    assert {r.issue_key for r in rows if r.project_key == "PROJ1"} == {"PROJ1-0", "PROJ1-365", "PROJ1-370"}
+    expected = set()
+    for press in {i.project_key for i in ISSUES}:
+        own = sorted((i for i in ISSUES if i.project_key == press), key=lambda i: (T0 - i.created, i.issue_key, i.id))
+        expected |= {i.issue_key for i in own[:3]}
+    assert {r.issue_key for r in rows} == expected
 
 
 def test_timeline(history):
@@ -107,15 +110,15 @@ def test_known_keys(skewed, some_keys):
 
 
 def test_unchanged_issues_are_excluded(issues):
-    known = issues.where("status_name != 'Open'")
-    moved = issues.withColumn("updated", F.when(F.col("status_name") == "Done", F.lit(T0)).otherwise(F.col("updated")))
+    known = issues.where("status_name != 'Pulled'")
+    moved = issues.withColumn("updated", F.when(F.col("status_name") == "Drying", F.lit(T0)).otherwise(F.col("updated")))
     left = exclude_unchanged(moved, known)
-    assert left.where("status_name = 'Open'").count() == 125
-    assert left.where("status_name = 'Closed'").count() == 0
+    assert left.where("status_name = 'Pulled'").count() == number(lambda i: i.status_name == "Pulled")
+    assert left.where("status_name = 'Bound'").count() == 0
 
 
 def test_issue_history_join(spark, history):
-    rows = spark.createDataFrame([("1", "TEST-1", "One", "P"), ("2", "TEST-2", "Two", "Q")], "id string, issue_key string, summary string, project_key string")
+    rows = spark.createDataFrame([("1", "TYPE-1", "One", "P"), ("2", "TYPE-2", "Two", "Q")], "id string, issue_key string, summary string, project_key string")
     joined = join_history(rows, history, "P").collect()
     assert [r.change_id for r in joined] == ["c0", "c10", "c20"]
     assert join_history(rows, history, "P", "status").count() == 2
@@ -160,12 +163,17 @@ def test_chunk_index_agrees_with_range_join(spark, history):
 
 
 def test_reconcile(issues):
-    left, right = issues.where("status_name != 'Done'"), issues.where("status_name != 'Open'")
+    left, right = issues.where("status_name != 'Drying'"), issues.where("status_name != 'Pulled'")
     row = reconcile_summary(left, right).collect()[0]
-    assert row.asDict() == {"left_count": 375, "right_count": 375, "shared_keys": 250, "only_left": 125, "only_right": 125}
+    drying, pulled = number(lambda i: i.status_name == "Drying"), number(lambda i: i.status_name == "Pulled")
+    shared = 500 - drying - pulled
+    assert row.asDict() == {
+        "left_count": 500 - drying, "right_count": 500 - pulled, "shared_keys": shared, "only_left": pulled,
+        "only_right": drying,
+    }
     assert reconcile(issues, issues).count() == 0
-    assert reconcile(left, right).count() == 250
-    assert overlap(left, right).count() == 250
+    assert reconcile(left, right).count() == drying + pulled
+    assert overlap(left, right).count() == shared
 
 
 def test_upsert(spark):
@@ -179,7 +187,8 @@ def test_upsert(spark):
 
 
 def test_delete(spark, issues):
-    keys = spark.createDataFrame([("PROJ1-0",), ("PROJ2-1",), ("none",), ("PROJ1-0",)], "issue_key string")
+    listed = [ISSUES[0].issue_key, ISSUES[1].issue_key, "none", ISSUES[0].issue_key]
+    keys = spark.createDataFrame([(key,) for key in listed], "issue_key string")
     assert deleted_rows(issues, keys).count() == 2
     assert delete_keys(issues, keys).count() == 498
     empty = keys.limit(0)

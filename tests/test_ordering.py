@@ -1,5 +1,5 @@
 import pytest
-from conftest import T0
+from generated import T0
 from pyspark.sql import functions as F
 
 from trackmill.operators.filters import HistoryFilter, IssueFilter
@@ -20,10 +20,10 @@ def test_sort_orders(issues, sort_order):
 
 
 def test_null_priority_is_last_both_ways(spark):
-    rows = spark.createDataFrame([("1", "A-1", None), ("2", "A-2", "High"), ("3", "A-3", "Low")], "id string, issue_key string, priority_name string")
+    rows = spark.createDataFrame([("1", "A-1", None), ("2", "A-2", "Haste"), ("3", "A-3", "Lull")], "id string, issue_key string, priority_name string")
     for direction in ("priority_asc", "priority_desc"):
         assert rows.orderBy(*issue_order(direction)).collect()[-1].id == "1"
-    ranked = rows.orderBy(*issue_order("priority_asc", {"Low": 1, "High": 2})).collect()
+    ranked = rows.orderBy(*issue_order("priority_asc", {"Lull": 1, "Haste": 2})).collect()
     assert [row.id for row in ranked] == ["3", "2", "1"]
 
 

@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
-from conftest import HISTORY_COLUMNS, T0
+import pytest
+from generated import HISTORY_COLUMNS, ISSUES, T0, number
 from pyspark.sql import functions as F
 
 from trackmill.functions import changes
@@ -22,29 +23,37 @@ def test_storage_stats_equal_recounts(issues):
 
 
 def test_stats_leave_out_absent_projects(spark, issues):
-    some = issues.withColumn("project_key", F.nullif(F.col("project_key"), F.lit("PROJ1")))
+    some = issues.withColumn("project_key", F.nullif(F.col("project_key"), F.lit("PRESS1")))
     rows = stats.storage_stats(some).where("metric = 'project'").collect()
-    assert len(rows) == 4 and sum(r.n for r in rows) == 400
-    assert stats.count_by_project(some).count() == 4
+    presses = {i.project_key for i in ISSUES} - {"PRESS1"}
+    assert len(rows) == len(presses) and sum(r.n for r in rows) == number(lambda i: i.project_key != "PRESS1")
+    assert stats.count_by_project(some).count() == len(presses)
     empty = stats.storage_stats(issues.limit(0)).collect()
     assert [(r.metric, r.n) for r in empty] == [("total", 0)]
 
 
 def test_counts(issues):
     assert stats.total(issues).collect()[0][0] == 500
-    assert stats.count_matching(issues, IssueFilter(statuses=["Open"], limit=3, offset=9)).collect()[0].n == 125
-    assert [r.n for r in stats.top_values(issues, "assignee_display_name", 1, stats.UNASSIGNED).collect()] == [333]
-    assert stats.top_values(issues, "assignee_display_name", 50).count() == 10
+    assert stats.count_matching(issues, IssueFilter(statuses=["Pulled"], limit=3, offset=9)).collect()[0].n == number(
+        lambda i: i.status_name == "Pulled"
+    )
+    nobody = number(lambda i: i.assignee_display_name is None)
+    assert [r.n for r in stats.top_values(issues, "assignee_display_name", 1, stats.UNASSIGNED).collect()] == [nobody]
+    assert stats.top_values(issues, "assignee_display_name", 50).count() == 9
     assert sum(r.n for r in stats.distribution(issues, ["project_key"], "priority_name").collect()) == 500
     shares = stats.share_of_total(issues, "project_key").collect()
-    assert {r.percent for r in shares} == {20.0}
-    assert stats.distinct_values(issues, "project_key").count() == 5
+    presses = {i.project_key for i in ISSUES}
+    assert {r.project_key: r.percent for r in shares} == {
+        press: pytest.approx(number(lambda i: i.project_key == press) / 5) for press in presses
+    }
+    assert stats.distinct_values(issues, "project_key").count() == len(presses)
 
 
 def test_creation_rate(issues):
     row = stats.creation_rate(issues, T0).collect()[0]
-    assert (row.created_7d, row.created_30d) == (16, 62)
-    assert row.rate_7d == round(16 / 7, 6)
+    recent = [number(lambda i: i.created >= T0 - timedelta(days=days)) for days in (7, 30)]
+    assert [row.created_7d, row.created_30d] == recent
+    assert row.rate_7d == round(recent[0] / 7, 6)
 
 
 def test_completeness(spark):
@@ -134,34 +143,39 @@ def test_incremental(issues):
     shown = ("id", "issue_key", "project_key", "status_name", "created", "updated")
     source = issues.select(*shown)
     since = T0 - timedelta(hours=2)
-    known = source.where("status_name != 'Open'").withColumn(
+    known = source.where("status_name != 'Pulled'").withColumn(
         "updated", F.when(F.col("updated") > F.lit(since), F.lit(since)).otherwise(F.col("updated")))
     outcome = sync.incremental(source, known, since, T0)
     kinds = {r.sync_kind: r["count"] for r in outcome.fetched.groupBy("sync_kind").count().collect()}
-    recent = source.where(F.col("updated") >= F.lit(since))
-    moved = recent.where((F.col("status_name") != "Open") & (F.col("updated") > F.lit(since)))
-    assert kinds == {"new": recent.where("status_name = 'Open'").count(), "updated": moved.count()}
+    recent = source.where((F.col("updated") >= F.lit(since)) | (F.col("created") >= F.lit(since)))
+    moved = recent.where((F.col("status_name") != "Pulled") & (F.col("updated") > F.lit(since)))
+    assert kinds == {"new": recent.where("status_name = 'Pulled'").count(), "updated": moved.count()}
     totals = outcome.projects.agg(F.sum("synced_count"), F.sum("new_count"), F.sum("updated_count")).collect()[0]
     assert tuple(totals) == (sum(kinds.values()), kinds["new"], kinds["updated"])
-    assert outcome.merged.count() == 375 + kinds["new"]
+    assert outcome.merged.count() == number(lambda i: i.status_name != "Pulled") + kinds["new"]
     again = sync.incremental(source, outcome.merged, since, T0)
     assert again.fetched.count() == 0
     assert outcome.merged.exceptAll(again.merged).count() == 0
 
 
 def test_full_reload_and_deletions(issues):
-    source = issues.where("status_name != 'Closed'")
+    source = issues.where("status_name != 'Bound'")
     outcome = sync.full(source, issues, T0)
-    assert outcome.merged.count() == 375
+    bound = number(lambda i: i.status_name == "Bound")
+    assert outcome.merged.count() == 500 - bound
     gone = sync.deleted_keys(issues, source)
-    assert gone.count() == 125
+    assert gone.count() == bound
     record = sync.run_record(outcome.projects, "s", 1, T0, T0 + timedelta(seconds=1), gone).collect()[0]
-    assert (record.synced_count, record.updated_count, record.deleted_count, record.is_success) == (375, 375, 125, True)
+    assert (record.synced_count, record.updated_count, record.deleted_count, record.is_success) == (
+        500 - bound, 500 - bound, bound, True
+    )
 
 
 def test_failed_project(issues):
     fetched = issues.withColumn("sync_kind", F.lit("new"))
-    failed = issues.where("project_key = 'PROJ1'").select("project_key")
+    failed = issues.where("project_key = 'PRESS1'").select("project_key")
     rows = {r.project_key: r for r in sync.project_rollup(fetched, T0, failed).collect()}
-    assert (rows["PROJ1"].error_count, rows["PROJ1"].synced_count) == (1, 0)
-    assert (rows["PROJ2"].error_count, rows["PROJ2"].synced_count) == (0, 100)
+    assert (rows["PRESS1"].error_count, rows["PRESS1"].synced_count) == (1, 0)
+    assert (rows["PRESS2"].error_count, rows["PRESS2"].synced_count) == (
+        0, number(lambda i: i.project_key == "PRESS2")
+    )
