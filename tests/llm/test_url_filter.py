@@ -1,8 +1,11 @@
 import random
 import re
 
+import duckdb
+import pandas as pd
 import pytest
 
+from trackmill.llm.queries import URL_FILTER_SQL
 from trackmill.llm.url_filter import FOLLOWED, LEAST_DISTRUST, RULES, STEPS, judge_urls
 
 
@@ -79,6 +82,11 @@ def test_against_brute_force(spark, seed):
     pages = spark.createDataFrame([(*row, "x", "y") for row in rows], SCHEMA).repartition(3)
     found = [tuple(r) for r in judge_urls(pages).select("id", "host", "path", "rule", "verdict").collect()]
     assert sorted(found) == sorted(expected(rows), key=lambda r: r[0])
+    # The registered SQL says the same where pages link to one another.
+    connection = duckdb.connect()
+    connection.register("frame", pd.DataFrame(rows, columns=["page_id", "url", "html"]))
+    connection.execute("CREATE TABLE pages AS SELECT * FROM frame")
+    assert sorted(connection.execute(URL_FILTER_SQL).fetchall()) == sorted(found)
     assert {r[4] for r in found if r[3] is None} == {"allow", "block"}
 
 

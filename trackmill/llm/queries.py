@@ -147,7 +147,60 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@llm_query("op10_url_filter")
+def _rank_sql(name: str, edges: str, seeds: str) -> str:
+    """One table expression per step of the propagation; the last is ``name``."""
+    kept, followed = 1 - url_filter.FOLLOWED, url_filter.FOLLOWED
+    parts = [
+        f"{name}_own AS (SELECT host, {seeds} / CAST(n AS DOUBLE) * {kept!r}::DOUBLE AS own FROM counts WHERE {seeds} > 0)",
+        f"{name}_shares AS (SELECT src, dst, n / SUM(n) OVER (PARTITION BY src) AS share FROM {edges})",
+        f"{name}_0 AS (SELECT host, own AS rank FROM {name}_own)",
+    ]
+    for step in range(url_filter.STEPS):
+        parts.append(f"""{name}_{step + 1} AS MATERIALIZED (SELECT host, SUM(part) AS rank FROM (
+          SELECT dst AS host, rank * share * {followed!r}::DOUBLE AS part FROM {name}_{step} JOIN {name}_shares ON host = src
+          UNION ALL SELECT host, own FROM {name}_own) GROUP BY host)""")
+    return ",\n".join([*parts, f"{name} AS (SELECT * FROM {name}_{url_filter.STEPS})"])
+
+
+def _rule_sql(column: str) -> str:
+    """The longest rule's ``column`` that fits, as a chain of cases."""
+    longest = sorted(url_filter.RULES, key=lambda r: -len(r.host + r.path))
+    cases = [
+        f"WHEN (host = '{r.host}' OR suffix(host, '.{r.host}')) AND starts_with(path, '{r.path}') "
+        f"THEN '{r.host + r.path if column == 'rule' else r.verdict}'"
+        for r in longest
+    ]
+    return f"CASE {' '.join(cases)} END"
+
+
+def _host_sql(url: str) -> str:
+    return f"translate(regexp_extract({url}, '{url_filter.URL}', 1), '{UPPER}', '{UPPER.lower()}')"
+
+
+URL_FILTER_SQL = f"""
+WITH named AS (
+  SELECT page_id, {_host_sql("coalesce(url, '')")} AS host,
+         regexp_extract(coalesce(url, ''), '{url_filter.URL}', 2) AS path, coalesce(html, '') AS html
+  FROM pages),
+ruled AS (SELECT *, {_rule_sql('rule')} AS rule, {_rule_sql('verdict')} AS fit FROM named),
+counts AS (
+  SELECT host, COUNT(*) AS n, COUNT(*) FILTER (fit = 'allow') AS allowed, COUNT(*) FILTER (fit = 'block') AS blocked
+  FROM ruled WHERE host <> '' GROUP BY host),
+links AS (
+  SELECT host AS src, UNNEST(list_distinct(regexp_extract_all(html, '{url_filter.LINK.replace("'", "''")}', 1))) AS link
+  FROM named WHERE host <> ''),
+targets AS (SELECT src, {_host_sql("'http:' || regexp_replace(link, '(?i)^https?:', '')")} AS dst FROM links),
+edges AS (SELECT src, dst, COUNT(*) AS n FROM targets WHERE dst <> '' AND dst <> src GROUP BY src, dst),
+turned AS (SELECT dst AS src, src AS dst, n FROM edges),
+{_rank_sql('trust', 'edges', 'allowed')},
+{_rank_sql('distrust', 'turned', 'blocked')}
+SELECT page_id, r.host, path, rule,
+  coalesce(fit, CASE WHEN coalesce(d.rank, 0) >= {url_filter.LEAST_DISTRUST * (1 - url_filter.FOLLOWED)!r}::DOUBLE
+    AND coalesce(d.rank, 0) > coalesce(t.rank, 0) THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled r LEFT JOIN trust t ON r.host = t.host LEFT JOIN distrust d ON r.host = d.host"""
+
+
+@llm_query("op10_url_filter", URL_FILTER_SQL)
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages"))
     return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
