@@ -3,7 +3,8 @@
 Each round hooks every node to the least node it knows; a cluster of any shape is a star
 around its least node after a number of rounds that grows with the logarithm of its size.
 Nodes meet in grouped minima, which combine map-side, and in joins with one row per node on
-one side, so a node with very many links is split like any skewed join.
+one side.  That side is written first: a join of two plain exchanges is one that adaptive
+execution can split, where a node has very many links.
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ from trackmill.session import durable
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = durable(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Edges as large stars leave them: ``a`` above ``b``."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = durable(edges.groupBy("a").agg(F.min("b").alias("m")))
     moved = edges.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 

@@ -220,7 +220,8 @@ def near_links(prints: DataFrame, radius: int = RADIUS, cell_rows: int = CELL_RO
     """Links ``a``, ``b`` between different fingerprints of a column ``fingerprint``, enough to
     connect all that are within the radius of one another."""
     keyed = prints.select("fingerprint", F.explode(block_keys(radius)).alias("key"))
-    crowds = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # Written, so that the join with it can be split where a key is crowded.
+    crowds = durable(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     blocks = F.ceil(F.col("n") / cell_rows).cast("int")
     own = F.pmod(F.xxhash64("fingerprint", F.lit(7)), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -253,7 +254,8 @@ def near_groups(
         "fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("group")
     )
     named = grouped.groupBy("group").agg(F.min("least_id").alias("component_id"))
-    told = grouped.join(named, "group").select("fingerprint", "group", "component_id")
+    # Written, so that the join with it can be split where very many rows are copies.
+    told = durable(grouped.join(named, "group").select("fingerprint", "group", "component_id"))
     return rows.join(told, "fingerprint").select("id", "fingerprint", "group", "component_id")
 
 
