@@ -126,9 +126,10 @@ def judge_urls(
 
     trust = propagate(edges, seeds("allowed"), steps, followed).withColumnRenamed("rank", "trust")
     distrust = propagate(against, seeds("blocked"), steps, followed).withColumnRenamed("rank", "distrust")
-    hosts = counts.select("host").join(trust, "host", "left").join(distrust, "host", "left").select(
+    # Written, so that the join with it can be split where one host has very many pages.
+    hosts = durable(counts.select("host").join(trust, "host", "left").join(distrust, "host", "left").select(
         "host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")
-    )
+    ))
     bad = (F.col("distrust") >= least_distrust * (1 - followed)) & (F.col("distrust") > F.col("trust"))
     judged = ruled.select("id", "host", "path", "fit").join(hosts, "host", "left")
     return judged.select(
