@@ -107,11 +107,10 @@ def fair_mix(
         .otherwise(F.lit(0.0)),
     )
     finished = running_sums(passing, ["finish", F.col("source").asc_nulls_last(), "position"], {"used": "size"})
-    budget = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("budget"))
-    taken = (F.col("used") <= F.col("budget")) | (F.col("size") == 0)
+    budget = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0))).scalar()
+    taken = (F.col("used") <= budget) | (F.col("size") == 0)
     return (
-        finished.crossJoin(F.broadcast(budget))  # one row
-        .groupBy("position", "id", "source", "text_hash", "size", "source_size", "target")
+        finished.groupBy("position", "id", "source", "text_hash", "size", "source_size", "target")
         .agg(
             F.sum(F.when(taken, 1).otherwise(0)).alias("copies"),
             F.sum(F.when(taken, F.col("size")).otherwise(0)).alias("taken"),
@@ -125,17 +124,15 @@ def mixed(
     weights: Sequence[int] = WEIGHTS, most_times: int = MOST_TIMES,
 ) -> DataFrame:
     """The documents of the mix with all their columns, each as often as the mix takes it."""
-    keys = ["_id", "_source", "_hash"]
+    # Rows that agree in all three are told apart by a number of their own.  A struct is never
+    # null and its absent members are equal, so absent keys meet too.
+    same = F.struct(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.xxhash64(text_col).alias("text_hash"))
+    twins = F.row_number().over(W.partitionBy("_key").orderBy(F.lit(0)))
     plan = fair_mix(docs, id_col, text_col, source_col, weights, most_times).select(
-        F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("text_hash").alias("_hash"), "copies"
+        F.struct("id", "source", "text_hash").alias("_key"), F.col("copies").alias("_copies")
     )
-    # Rows that agree in all of these are told apart by a number of their own.
-    plan = plan.withColumn("_twin", F.row_number().over(W.partitionBy(*keys).orderBy("copies"))).where("copies > 0")
-    named = docs.select(
-        *[F.col(name) for name in docs.columns], F.col(id_col).alias("_id"), F.col(source_col).alias("_source"),
-        F.xxhash64(F.col(text_col)).alias("_hash"),
-    )
-    named = named.withColumn("_twin", F.row_number().over(W.partitionBy(*keys).orderBy(F.lit(0))))
-    same = [named[key].eqNullSafe(plan[key]) for key in [*keys, "_twin"]]
-    joined = named.join(plan, on=same).select(*[named[name] for name in docs.columns], plan["copies"].alias("_copies"))
+    plan = plan.withColumn("_other", twins).where("_copies > 0")
+    named = docs.withColumn("_key", same).withColumn("_twin", twins)
+    # Joined by the key alone, which the numbering has already dealt the texts out by.
+    joined = named.join(plan, "_key").where(F.col("_twin") - F.col("_other") == 0)
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
