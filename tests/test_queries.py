@@ -25,3 +25,10 @@ def test_entry(spark):
 def test_query(spark, connection, name):
     result = driver.queries()[name](spark, SF_DIR)
     assert oracle.difference(result, connection, driver.oracle_sql()[name]) is None
+
+
+def test_streamed_counts_read_a_folder_as_well(spark, tmp_path):
+    """The same table as one file and as a folder of part files."""
+    spark.read.parquet(f"{SF_DIR}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    counts = [driver.queries()["q_t7"](spark, path).collect() for path in (SF_DIR, str(tmp_path))]
+    assert counts[0] and sorted(counts[0]) == sorted(counts[1])

@@ -191,7 +191,7 @@ GROUP BY 1, 2 HAVING TIME_BUCKET(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR
 def stream_counts(spark, sf_dir):
     """Changes per field and hour, as far as the watermark has closed the hours."""
     schema = table(spark, sf_dir, "events").schema
-    stream = streams.drops(spark, f"{sf_dir}/events.parquet", schema, "ts")
+    stream = streams.table_drops(spark, f"{sf_dir}/events.parquet", schema, "ts")
     counts = streams.counts_per_field(stream, "ts", "event_type", "1 hour", "1 hour")
     out = streams.run_to_end(counts, scratch_path(spark, "counts"), scratch_path(spark, "offsets"))
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -18,12 +18,18 @@ from trackmill.sources.tables import ChangeTable
 
 def drops(spark: SparkSession, path: str, schema: StructType, timestamp: str,
           files_per_trigger: int = 1000) -> DataFrame:
-    """Parquet drops at ``path``, a folder or a file, as a stream with a zoned event time,
+    """Parquet drops at ``path``, a folder or a glob, as a stream with a zoned event time,
     which a watermark needs.  ``files_per_trigger`` bounds a micro-batch, no result."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path).withColumn(timestamp, F.col(timestamp).cast("timestamp"))
 
 
+def table_drops(spark: SparkSession, path: str, schema: StructType, timestamp: str) -> DataFrame:
+    """A stored table as a stream, be it one file or a folder of files.  Spark takes a plain
+    path for a folder, but a glob for whatever it meets."""
+    return drops(spark, f"{path[:-1]}[{path[-1]}]", schema, timestamp)
+
+
 def deduplicated(stream: DataFrame, key: str, timestamp: str, delay: str,
                  repeated: bool = False) -> DataFrame:
     """First arrival per key.
