@@ -31,11 +31,16 @@ def ascii_lower(column: Column) -> Column:
 
 
 def worker_state(name: str, make: Callable[[], object]) -> object:
-    """A value that this Python worker keeps from task to task, made at first use."""
+    """A value that this Python worker keeps from task to task, made at first use.
+
+    A worker keeps one value: what another stage left there goes first, so that the memory
+    of a worker does not grow with the stages it has served."""
     holder = sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state"))
-    if not hasattr(holder, name):
-        setattr(holder, name, make())
-    return getattr(holder, name)
+    if getattr(holder, "name", None) != name:
+        holder.name = holder.value = None
+        holder.value = make()
+        holder.name = name
+    return holder.value
 
 
 def partitions_of(df: DataFrame) -> int:

@@ -19,7 +19,7 @@ from trackmill.llm.common import worker_state
 
 VOCABULARY = "byte_bpe_50k.json"
 # Words that a worker keeps; with more it starts anew.
-KEPT = 1_500_000
+KEPT = 1_200_000
 # White space that is followed by other white space or ends the text.
 ODD_BLANK = re.compile(r"\s(?:\s|\Z)")
 MARKS = ".,"

@@ -36,7 +36,7 @@ TRAIN_ROWS = 20_000
 FOLDS = 5
 HELD_OUT = 0
 # Words and their evidence that a worker keeps; with more it starts anew.
-KEPT = 600_000
+KEPT = 400_000
 RIDGE = 0.1
 FEATURES = 3
 
