@@ -28,6 +28,23 @@ def test_pages(body, expected):
     assert main_text(page(body)) == expected
 
 
+@pytest.mark.parametrize("body, expected", [
+    # Without article or main: links within paragraphs, headings and short blocks at the ends.
+    (f"<div><p>He saw <a href='/x'>Paris</a> in May. {LONG}</p><p>{LONG}</p></div>", f"He saw Paris in May. {LONG}\n{LONG}"),
+    (f"<div><h1>Head</h1><p>{LONG}</p><p>{LONG}</p><h2>End</h2><ul><li>x</ul></div>", f"Head\n{LONG}\n{LONG}\nEnd\nx"),
+    (f"<div><h1>Head</h1><p>{LONG}</p></div>", f"Head\n{LONG}"),
+    (f"<div><p>{LONG}</p><ul><li><a href='/x'>one</a><li><a href='/x'>two</a></ul><p>{LONG}</p></div>", f"{LONG}\n{LONG}"),
+    # Words of boilerplate in the class of a wrapper.
+    (f"<main class='content has-sidebar'><p>{LONG}</p><div class=sidebar>Else</div></main>", LONG),
+    (f"<div class=with-sidebar><article><p>{LONG}</p></article><div class=sidebar>Else</div></div>", LONG),
+    (f"<div id=page-social><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG}\n{LONG}"),
+    (f"<article><p>{LONG}</p></article><div class=comments><article class=comment>{LONG[:60]}</article>"
+     f"<article class=comment>{LONG[:60]}</article></div>", LONG),
+])
+def test_pages_without_marks_and_wrappers(body, expected):
+    assert main_text(page(body)) == expected
+
+
 @pytest.mark.parametrize("text", ["", " ", "<", "<!--", "<p", "</p>", "<script>x", "<p>" * 2000, "&am", "<article>", "<a href='x", "\x00<b>"])
 def test_damaged_pages(text):
     assert isinstance(main_text(text), str)

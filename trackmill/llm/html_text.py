@@ -5,13 +5,14 @@ Each path has a text ratio (characters outside links per node) and a punctuation
 per node); both are smoothed over neighbouring nodes in page order and fused, own and smoothed
 values, into one score, and paths above ``THRESHOLD`` times the page's standard deviation hold content.  The article
 is then the element that holds the content: the ``article`` or ``main`` element with most of
-it, or else the smallest element around all of it.  Its text is taken whole, short paragraphs
-and headings too; without such an element, everything between the first and the last content
-node but paths that are mostly links.
+it, or else the smallest element around all of it that is more than a paragraph.  Its text is
+taken whole, short paragraphs and headings too; without ``article`` or ``main``, all its blocks
+but those that are mostly links.
 
 What cannot be article is left out before anything is counted: scripts, styles, forms, menus,
 headers, footers, sidebars, notices, adverts and comments, known by element, role or the words
-of class and id.
+of class and id.  Words of class and id say nothing of an element that holds most of the page's
+text and its ``article`` or ``main``, or nearly all of its text: it is a wrapper.
 """
 
 from __future__ import annotations
@@ -71,7 +72,11 @@ BOILERPLATE_WORDS = frozenset(
     "newsletter subscribe subscription signup login share sharing social related recommended comment comments "
     "commentlist disqus replies reply respond widget toolbar pagination pager copyright disclaimer".split()
 )
+# Elements around one paragraph, heading or item.
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre blockquote figcaption caption".split())
 THRESHOLD = 0.5
+# Shares of a page's text that make an element a wrapper: with the article in it, and without.
+MOST_TEXT, NEARLY_ALL_TEXT = 0.5, 0.8
 SMOOTHED = (0.25, 0.5, 1.0, 0.5, 0.25)
 MOSTLY_LINKS = 0.5
 
@@ -84,23 +89,61 @@ class Node(NamedTuple):
     linked: bool
 
 
-def marked(attributes: str) -> tuple[bool, str]:
-    """Whether attributes mark boilerplate, and the class words that the tag path shows."""
+def hints(attributes: str) -> tuple[bool, bool, str]:
+    """Whether attributes hide an element or give it a role of boilerplate, whether its class and
+    id have words of boilerplate, and the class words that the tag path shows."""
     words: list[str] = []
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True, ""
+            return True, False, ""
         if name == "role" and value.lower() in BOILERPLATE_ROLES:
-            return True, ""
+            return True, False, ""
         if name in ("class", "id"):
             words += NAME_WORDS.findall(CAMEL.sub(" ", value))
     low = [word.lower() for word in words]
-    return any(word in BOILERPLATE_WORDS for word in low), "." + ".".join(low) if low else ""
+    return False, any(word in BOILERPLATE_WORDS for word in low), "." + ".".join(low) if low else ""
+
+
+def marked(attributes: str) -> tuple[bool, str]:
+    """Whether attributes mark boilerplate, and the class words that the tag path shows."""
+    sure, hinted, step = hints(attributes)
+    return sure or hinted, step
+
+
+def wrappers(nodes: list[Node], kinds: dict[int, str], hinted: set[int]) -> set[int]:
+    """Of elements whose class or id hints at boilerplate, those that hold the page's text."""
+    held: dict[int, int] = {}
+    total = 0
+    for node in nodes:
+        length = 0 if node.linked else len(node.text.strip())
+        total += length
+        for number in node.elements:
+            held[number] = held.get(number, 0) + length
+    articles = [number for number in held if kinds[number] in ("article", "main")]
+    # Of articles inside one another with the same text the outermost.
+    article = max(articles, key=lambda n: (held[n], -n), default=None)
+    around = {n for node in nodes if article in node.elements for n in node.elements if n <= article}
+    return {
+        number for number in hinted
+        if total and (number in around and held[number] >= MOST_TEXT * total
+                      or article is None and held.get(number, 0) >= NEARLY_ALL_TEXT * total)
+    }
 
 
 def nodes_of(page: str) -> tuple[list[Node], dict[int, str]]:
     """Text nodes outside boilerplate in page order, and the kind of each element by number."""
+    # At first words of class and id are not heeded, so that wrappers can be told.
+    nodes, kinds, hinted = _parsed(page, None)
+    if hinted:
+        nodes, kinds, _ = _parsed(page, wrappers(nodes, kinds, hinted))
+    return nodes, kinds
+
+
+def _parsed(page: str, spared: set[int] | None) -> tuple[list[Node], dict[int, str], set[int]]:
+    """Text nodes and kinds of elements, and the elements that their class or id alone marks;
+    those are boilerplate except the spared, or not at all if ``spared`` is absent."""
+    hinted: set[int] = set()
     nodes: list[Node] = []
     kinds: dict[int, str] = {}
     stack: list[tuple[str, int, str, bool]] = []  # tag, number, step of the path, boilerplate
@@ -160,16 +203,21 @@ def nodes_of(page: str) -> tuple[list[Node], dict[int, str]]:
             block += 1
         if tag in VOID or found[3].endswith("/") and tag not in RAW:
             continue
-        hint, step = marked(found[3])
+        sure, hint, step = hints(found[3])
         inside = bool(stack and stack[-1][3])
         # A header of the page is boilerplate, a header of the article is part of it.
         header = tag == "header" and not any(name in ("article", "main") for name, _, _, _ in stack)
         whole = tag in ("html", "body")
-        kinds[len(kinds)] = tag
-        stack.append((tag, len(kinds) - 1, tag + step, inside or not whole and (tag in BOILERPLATE or header or hint)))
+        number = len(kinds)
+        kinds[number] = tag
+        if hint and not whole:
+            hinted.add(number)
+        heeded = hint and spared is not None and number not in spared
+        out = tag in BOILERPLATE or header or sure or heeded
+        stack.append((tag, number, tag + step, inside or not whole and out))
         raw = tag if tag in RAW else None
     text(page[at:])
-    return nodes, kinds
+    return nodes, kinds, hinted
 
 
 def path_scores(nodes: list[Node]) -> dict[str, float]:
@@ -225,15 +273,15 @@ def article_nodes(nodes: list[Node], kinds: dict[int, str]) -> list[Node]:
     around = set(nodes[content[0]].elements)
     for i in content[1:]:
         around &= set(nodes[i].elements)
-    root = max(around, default=None)
-    linked: dict[str, list[int]] = {}
+    root = max((n for n in around if kinds[n] not in PARAGRAPHS and kinds[n] not in INLINE), default=None)
+    linked: dict[int, list[int]] = {}
     for node in nodes:
-        own = linked.setdefault(node.path, [0, 0])
-        own[0] += len(node.text) * node.linked
-        own[1] += len(node.text)
+        own, length = linked.setdefault(node.block, [0, 0]), len(node.text.strip())
+        own[0] += length * node.linked
+        own[1] += length
     return [
-        node for node in nodes[content[0]:content[-1] + 1]
-        if (root is None or root in node.elements) and linked[node.path][0] <= MOSTLY_LINKS * linked[node.path][1]
+        node for node in nodes
+        if (root is None or root in node.elements) and linked[node.block][0] <= MOSTLY_LINKS * linked[node.block][1]
     ]
 
 
