@@ -84,3 +84,21 @@ def test_tables(spark, odd_docs, no_docs):
     assert find_leaks(no_docs, items).count() == 0
     assert find_leaks(docs, items.limit(0)).count() == 0
     assert without_leaks(docs, items.limit(0)).count() == docs.count()
+
+
+def test_short_items_must_occur_exactly():
+    matcher = Matcher([(1, "what is the capital of france".split())], 0.2)
+    assert matcher.leaks(b"Q: What is the capital of France?") == [(1, 1, 6, 0, 6)]
+    assert matcher.leaks(b"What was the capital of France?") == []
+
+
+def test_unspaced_scripts_are_matched_by_characters(spark):
+    item = "\u660e\u6708\u51e0\u65f6\u6709\uff0c\u628a\u9152\u95ee\u9752\u5929\u3002\u4e0d\u77e5\u5929\u4e0a\u5bab\u9619"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "so: \u6211\u8bf4" + item + "\u597d\u7684 end"), (2, item.replace("\u9152", "\u8336")),
+        (3, item[:6]), (4, item.replace("\uff0c", "\u3000")), (5, "only words"),
+    ], "doc_id long, text string")
+    found = {(r["id"], r["first_word"], r["last_word"], r["distance"], r["n_item_words"]) for r in find_leaks(docs, items).collect()}
+    assert found == {(1, 1, 1, 0, 16), (2, 0, 0, 1, 16), (4, 0, 0, 0, 16)}
+    assert sorted(r["doc_id"] for r in without_leaks(docs, items).collect()) == [3, 5]
