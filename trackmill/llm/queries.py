@@ -19,6 +19,7 @@ from trackmill.llm import (
     token_files,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from trackmill.llm.common import UPPER, table
 
@@ -209,3 +210,51 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @llm_query("op7_attention_lm")
 def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_lm.score_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def _codebook_round_sql(turn: int) -> str:
+    """Nearest entries by the codebooks of a round, as ``distance * 256 + entry``."""
+    return f"""near_{turn} AS MATERIALIZED (
+  SELECT rid, p, MIN(square * 256 + e) AS best FROM (
+    SELECT c.rid, c.p, b.e, SUM((c.x - b.x) * (c.x - b.x)) AS square
+    FROM components c JOIN books_{turn} b ON c.p = b.p AND c.i = b.i GROUP BY c.rid, c.p, b.e) GROUP BY rid, p)"""
+
+
+def _codebook_move_sql(turn: int) -> str:
+    return f"""books_{turn + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, b.i, coalesce(m.x, b.x) AS x FROM books_{turn} b LEFT JOIN (
+    SELECT c.p, CAST(best % 256 AS BIGINT) AS e, c.i,
+           CAST((SUM(x) - ((SUM(x) % COUNT(*)) + COUNT(*)) % COUNT(*)) // COUNT(*) AS BIGINT) AS x
+    FROM components c JOIN near_{turn} n ON c.rid = n.rid AND c.p = n.p GROUP BY ALL) m
+  ON b.p = m.p AND b.e = m.e AND b.i = m.i)"""
+
+
+_TURNS = vector_codes.ROUNDS
+VECTOR_CODES_SQL = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label, embedding,
+         len(embedding) // {vector_codes.PARTS} AS width
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+components AS MATERIALIZED (
+  SELECT rid, (place - 1) // width AS p, (place - 1) % width AS i,
+         CAST(floor(CAST(embedding[place] AS DOUBLE) * {vector_codes.SCALE}) AS BIGINT) AS x
+  FROM (SELECT *, UNNEST(generate_series(1, len(embedding))) AS place FROM kept)),
+books_0 AS MATERIALIZED (SELECT p, rid - 1 AS e, i, x FROM components WHERE rid <= {vector_codes.ENTRIES}),
+{", ".join(_codebook_round_sql(t) + ", " + _codebook_move_sql(t) for t in range(_TURNS))},
+{_codebook_round_sql(_TURNS)},
+coded AS (
+  SELECT rid, string_agg(printf('%02x', CAST(best % 256 AS INTEGER)), '' ORDER BY p) AS code,
+         CAST(SUM(best // 256) AS BIGINT) AS error
+  FROM near_{_TURNS} GROUP BY rid)
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, i)) FROM books_{_TURNS}) AS codebooks_sha256
+FROM kept JOIN coded USING (rid)"""
+
+
+@llm_query("op13_vector_codes", VECTOR_CODES_SQL)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    digest = F.lit(vector_codes.codebook_digest(codebooks))
+    return coded.select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", digest.alias("codebooks_sha256")
+    )
