@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trackmill.llm import (
     attention_lm,
+    chunk_prints,
     decontaminate,
     exact_dedup,
     html_text,
@@ -258,3 +259,8 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(
         F.col("id").alias("vec_id"), "code", "error", "label_error", digest.alias("codebooks_sha256")
     )
+
+
+@llm_query("op12_chunk_prints")
+def op12_chunk_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_prints.chunk_prints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
