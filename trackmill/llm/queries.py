@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from trackmill.llm import (
     attention_lm,
     chunk_prints,
+    collocations,
     decontaminate,
     exact_dedup,
     html_text,
@@ -264,3 +265,41 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @llm_query("op12_chunk_prints")
 def op12_chunk_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_prints.chunk_prints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+# DuckDB cuts and joins lists of words; sums of whole numbers are exact there.
+COLLOCATIONS_SQL = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, '{collocations.ABSENT}') AS lang,
+         regexp_extract_all(UNNEST(regexp_split_to_array({LOWERED}, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS words
+  FROM documents),
+places AS (SELECT lang, words, UNNEST(generate_series(1, len(words))) AS place FROM pieces),
+counts AS MATERIALIZED (
+  SELECT lang, size, array_to_string(list_slice(words, place, place + size - 1), ' ') AS phrase, COUNT(*) AS a
+  FROM places, (SELECT UNNEST(generate_series(1, {collocations.MOST_WORDS})) AS size) s
+  WHERE place + size - 1 <= len(words) GROUP BY ALL),
+totals AS (SELECT lang, CAST(SUM(a) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
+candidates AS MATERIALIZED (
+  SELECT *, string_split(phrase, ' ') AS words FROM counts WHERE size > 1 AND a >= {collocations.LEAST_COUNT}),
+cuts AS (SELECT *, UNNEST(generate_series(1, size - 1)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, k, h.a AS l, t.a AS r,
+         CAST((CAST({collocations.SCORE} AS HUGEINT) * c.a * c.a) // (CAST(h.a AS HUGEINT) * t.a) AS BIGINT) AS score
+  FROM cuts c JOIN counts h ON c.lang = h.lang AND h.phrase = array_to_string(list_slice(c.words, 1, k), ' ')
+    JOIN counts t ON c.lang = t.lang AND t.phrase = array_to_string(list_slice(c.words, k + 1, c.size), ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (
+  SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN (
+    SELECT lang, size, a, array_to_string(list_slice(words, i, j), ' ') AS phrase FROM candidates,
+      (SELECT UNNEST(generate_series(1, {collocations.MOST_WORDS})) AS i) x,
+      (SELECT UNNEST(generate_series(1, {collocations.MOST_WORDS})) AS j) y WHERE i <= j AND j <= size) o ON c.lang = o.lang AND c.phrase = o.phrase AND o.size > c.size
+  WHERE 100 * o.a >= {collocations.HELD_PERCENT} * c.a),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score
+  FROM lowest ANTI JOIN held USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.TOP}"""
+
+
+@llm_query("op11_collocations", COLLOCATIONS_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
