@@ -117,15 +117,29 @@ def _rank(identifier: int | None, hashed: int) -> tuple[bool, int, int]:
 
 
 def _dealt(firsts: list[tuple[bool, int, int]]):
-    """Rows with the range they fall in."""
+    """Rows with the range they fall in; the first of a range once more, for the end of the range
+    before it.  A task hands on only the least text for each range that rows of one key begin."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[int, str] = {}
         for batch in batches:
             ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ranks = [_rank(i, h) for i, h in zip(ids, hashes, strict=True)]
-            part = [max(0, bisect_right(firsts, rank) - 1) for rank in ranks]
+            part, begins = [], []
+            for at, key in enumerate(zip(ids, hashes, strict=True)):
+                rank = _rank(*key)
+                part.append(max(0, bisect_right(firsts, rank) - 1))
+                if firsts[part[-1]] == rank:
+                    text = batch.column(2)[at].as_py()
+                    if part[-1] not in least or text < least[part[-1]]:
+                        least[part[-1]] = text
+                        begins.append(at)
+            before = [(part[at] - 1) % len(firsts) for at in begins]
+            taken = pa.array([*range(batch.num_rows), *begins], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int32()), pa.array([False] * len(part), pa.bool_()), *batch.columns],
+                [
+                    pa.array(part + before, pa.int32()), pa.array([False] * len(part) + [True] * len(before), pa.bool_()),
+                    *[column.take(taken) for column in batch.columns],
+                ],
                 names=["part", "copy", "id", "hash", "text"],
             )
 
@@ -139,8 +153,8 @@ PRINTS = (
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every row with the one behind it in its range; the last of a range is the next one's
-    first and only ends it."""
+    """Every row with the one behind it in its range.  A range is followed by the next one's
+    first, which only ends it; of several such copies the first is the least."""
     part = held = None
     for batch in batches:
         rows = []
@@ -202,17 +216,9 @@ def chunk_prints(
     firsts = range_starts(narrow.select("id", "hash"), ranges)
     if not firsts:
         return spark.createDataFrame([], PRINTS)
-    # The first document of each range, once more at the end of the range before it.  Texts of one
-    # hash are told apart by themselves.
-    behind = [((part - 1) % len(firsts), *key) for part, key in enumerate(firsts)]
-    wanted = spark.createDataFrame(behind, "part int, id long, hash long")
-    heads = narrow.join(wanted, narrow["id"].eqNullSafe(wanted["id"]) & (narrow["hash"] == wanted["hash"]))
-    copies = heads.groupBy("part").agg(F.min(F.struct(narrow["id"], narrow["hash"], "text")).alias("row")).select(
-        "part", F.lit(True).alias("copy"), "row.*"
-    )
     dealt = narrow.select("id", "hash", "text").mapInArrow(
         _dealt([_rank(*key) for key in firsts]), "part int, copy boolean, id long, hash long, text string"
     )
-    placed = dealt.union(copies).repartitionById(len(firsts), F.col("part"))
+    placed = dealt.repartitionById(len(firsts), F.col("part"))
     order = ["part", "copy", F.col("id").desc_nulls_last(), "hash", "text"]
     return placed.sortWithinPartitions(*order).mapInArrow(_compare, PRINTS)
