@@ -249,8 +249,11 @@ def _counted(size: int, bits: int, sent=None):
 def filter_of(phrases: DataFrame, size: int, bits: int) -> bytes:
     """A bit for each phrase; the filter's words are what reaches the driver, whatever there is."""
     place = phrases.select(filter_place(F.col("phrase"), size, bits).alias("place"))
+    spark = phrases.sparkSession
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(31)).cast("int"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", COUNTS)
     rows = place.groupBy(F.shiftrightunsigned("place", 5).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
+    small_batches(spark)
     found = np.zeros(bits // 32, "<u4")
     found[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint32)
     return found.tobytes()
@@ -271,9 +274,9 @@ def frequent_phrases(
         F.coalesce(F.col(lang_col).cast("string"), F.lit(ABSENT)).alias("lang"), F.col(text_col).cast("string").alias("text")
     )
     shards = durable(narrow.mapInArrow(_index(shard_words, open_words, most_words), INDEX))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", SHARDS)
     found, sent = None, None
     for size in range(2, most_words + 1):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", SHARDS)
         counted = shards.mapInArrow(_counted(size, filter_bits, sent), COUNTED)
         summed = counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("a"))
         frequent = durable(summed.where(F.col("a") >= least_count))
