@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from trackmill.operators.scans import with_previous
+
 
 def top_per_group(
     df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column], k: int
@@ -61,3 +63,18 @@ def timeline(history: DataFrame, ties: Sequence[str]) -> DataFrame:
     partitions as it needs.
     """
     return history.orderBy("issue_key", "change_timestamp", *ties)
+
+
+def timeline_gaps(
+    history: DataFrame, ties: Sequence[str], before: str = "from_display_value", after: str = "to_display_value"
+) -> DataFrame:
+    """Changes that do not start where the change before of the same issue and field ended, with
+    that end as ``expected``.  The first change of a field has nothing before it.
+
+    A scan of the table sorted by issue, field and time: a heavily edited issue is cut
+    wherever a range ends, and the scan carries one row over.
+    """
+    order = [F.col(name) for name in ("issue_key", "field_name", "change_timestamp", *ties)]
+    seen = with_previous(history, order, [after], ["issue_key", "field_name"])
+    broken = F.col("previous").isNotNull() & ~F.col(before).eqNullSafe(F.col(f"previous.{after}"))
+    return seen.where(broken).select(*history.columns, F.col(f"previous.{after}").alias("expected"))

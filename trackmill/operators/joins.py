@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
 from trackmill.functions.instants import Instant, as_utc, elapsed_micros, instant
+from trackmill.operators.scans import PART, inside, ranged, sums_before
+from trackmill.session import durable
 
 # A key with at least this share of the rows is spread over SALTS tasks.
 HOT_SHARE = 0.01
@@ -106,15 +108,19 @@ def keep_known(issues: DataFrame, known: DataFrame, key: str = "issue_key") -> D
 
 
 def classify(
-    issues: DataFrame, known: DataFrame, key: str = "issue_key", version: str | None = None
+    issues: DataFrame, known: DataFrame, key: str = "issue_key", version: str | None = None, few: bool = False
 ) -> DataFrame:
     """Mark every fetched issue as ``updated`` when its key is known, else ``new``.
 
     With ``version``, issues that a known row has in the same version are left out by the
-    same join.
+    same join.  With ``few`` the fetched issues are few beside the known: these are reduced to
+    the fetched keys before they are grouped, which reads the fetched issues twice.
     """
+    touched = known.select(key, *([version] if version else []))
+    if few:
+        touched = touched.join(issues.select(key), key, "left_semi")
     seen = F.collect_set(version) if version else F.lit(True)
-    flags = known.select(key, *([version] if version else [])).groupBy(key).agg(seen.alias("_known"))
+    flags = touched.groupBy(key).agg(seen.alias("_known"))
     marked = issues.join(flags, key, "left")
     if version:
         marked = marked.where(~F.coalesce(F.array_contains("_known", F.col(version)), F.lit(False)))
@@ -156,3 +162,53 @@ def assign_chunks(
     rows = df.select(*keep, timestamp).withColumn("_bin", bin_of(F.col(timestamp)))
     inside = F.col(timestamp).between(F.col("chunk_start"), F.col("_until"))
     return rows.join(bins, "_bin").where(inside).drop("_bin", "_until")
+
+
+def sweep_chunks(df: DataFrame, chunks: DataFrame, timestamp: str, keep: Sequence[str]) -> DataFrame:
+    """Rows with every chunk they fall in, for chunks of any length that may overlap: from its
+    start to before its end, and to its end for the chunks that end last.
+
+    Starts, ends and rows are sorted together by time and swept once.  Rows with no start
+    or end between them fall in the same chunks: they are one slot.  The sweep numbers the
+    slots that have rows, and a chunk is open over a run of these numbers, from the one after
+    its start to the one at its end.  So a chunk is repeated once for each slot in which it is open
+    and which has rows, never for the time that it covers, and the join is an equality on the
+    slot.  A slot that goes on behind the end of a range of the sweep is counted anew there,
+    with the same chunks open.  Rows without a time and chunks without length fall out.
+    """
+    real = durable(chunks.where(F.col("chunk_start") < F.col("chunk_end")).withColumn("_chunk", F.monotonically_increasing_id()))
+    closed = F.col("chunk_end") == real.agg(F.max("chunk_end")).scalar()
+    nothing = F.lit(None)
+    row = F.struct(*[F.col(name) for name in dict.fromkeys([*keep, timestamp])])
+    rows = df.where(F.col(timestamp).isNotNull())
+    # At one time ends and starts come first, then rows, then the ends that hold their rows.
+    points = rows.select(
+        F.col(timestamp).alias("_at"), F.lit(1).alias("_kind"), nothing.cast("long").alias("_chunk"),
+        nothing.cast("boolean").alias("_begins"), row.alias("_row"),
+    ).withColumn("_spread", F.xxhash64("_row"))
+    kind = points.schema["_row"].dataType
+
+    def marks(at: str, order: Column, begins: bool) -> DataFrame:
+        return real.select(
+            F.col(at).alias("_at"), order.cast("int").alias("_kind"), "_chunk", F.lit(begins).alias("_begins"),
+            nothing.cast(kind).alias("_row"), F.col("_chunk").alias("_spread"),
+        )
+
+    events = points.unionByName(marks("chunk_start", F.lit(0), True)).unionByName(
+        marks("chunk_end", F.when(closed, 2).otherwise(0), False)
+    )
+    order = [F.col("_at"), F.col("_kind"), F.col("_spread")]
+    run = inside(order)
+    is_row = F.col("_kind") == 1
+    opens = is_row & ~F.coalesce(F.lag(is_row).over(run), F.lit(False))
+    placed = ranged(events, order).withColumn("_opens", opens.cast("long"))
+    # One row per range of the sweep.
+    before = F.broadcast(sums_before(placed, _slots=F.col("_opens")))
+    swept = durable(placed.join(before, PART).withColumn("_slot", F.col("_slots") + F.sum("_opens").over(run)))
+    spans = swept.where("_kind <> 1").groupBy("_chunk").agg(
+        (F.max(F.when(F.col("_begins"), F.col("_slot"))) + 1).alias("_from"),
+        F.max(F.when(~F.col("_begins"), F.col("_slot"))).alias("_to"),
+    )
+    held = spans.where("_from <= _to").select("_chunk", F.explode(F.sequence("_from", "_to")).alias("_slot"))
+    in_slots = swept.where("_kind = 1").select("_slot", "_row.*").join(held, "_slot")
+    return in_slots.join(real, "_chunk").drop("_chunk", "_slot")

@@ -30,8 +30,9 @@ class SyncOutcome(NamedTuple):
 
 
 def fetch_changes(source: DataFrame, known: DataFrame, window: TimeWindow) -> DataFrame:
-    """Issues of the window that are new or differ from their known version, classified."""
-    return classify(window.apply(source), known, version="updated")
+    """Issues of the window that are new or differ from their known version, classified.  The
+    window is read once and written, so that the known table can be cut to its keys."""
+    return classify(durable(window.apply(source)), known, version="updated", few=True)
 
 
 def incremental(

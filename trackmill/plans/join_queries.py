@@ -13,6 +13,7 @@ from trackmill.operators.joins import (
     exclude_known,
     join_history,
     keep_known,
+    sweep_chunks,
 )
 from trackmill.operators.ordering import numbered
 from trackmill.operators.setops import concat, overlap, reconcile, reconcile_summary
@@ -89,6 +90,37 @@ def j5(spark, sf_dir):
     )
 
 
+@query("q_j5_nested", """
+WITH months AS (SELECT DISTINCT DATE_TRUNC('month', o_orderdate)::TIMESTAMP AS m FROM orders),
+chunks AS (
+  SELECT 'month' AS kind, m AS chunk_start, m + INTERVAL 45 DAY AS chunk_end FROM months
+  UNION ALL SELECT 'second', m, m + INTERVAL 1 SECOND FROM months
+  UNION ALL SELECT DISTINCT 'year', DATE_TRUNC('year', m)::TIMESTAMP, DATE_TRUNC('year', m)::TIMESTAMP + INTERVAL 365 DAY FROM months
+  UNION ALL SELECT 'all', (SELECT MIN(m) FROM months), (SELECT MAX(o_orderdate) FROM orders)
+  UNION ALL SELECT 'empty', MIN(m), MIN(m) FROM months)
+SELECT o_orderkey, o_orderdate, kind, chunk_start, chunk_end FROM orders JOIN chunks
+  ON o_orderdate >= chunk_start AND (o_orderdate < chunk_end
+    OR (o_orderdate = chunk_end AND chunk_end = (SELECT MAX(chunk_end) FROM chunks WHERE chunk_start < chunk_end)))""")
+def j5_nested(spark, sf_dir):
+    """Orders in chunks of 45 days that overlap, of a year, of a second, and of the whole span."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    begin = F.date_trunc("month", "o_orderdate").cast("timestamp_ntz")
+    months = orders.select(begin.alias("m")).distinct()
+    year = F.date_trunc("year", "m").cast("timestamp_ntz")
+
+    def chunk(rows, kind, start, end):
+        return rows.select(F.lit(kind).alias("kind"), start.alias("chunk_start"), end.alias("chunk_end"))
+
+    chunks = (
+        chunk(months, "month", F.col("m"), F.col("m") + F.expr("INTERVAL 45 DAY"))
+        .union(chunk(months, "second", F.col("m"), F.col("m") + F.expr("INTERVAL 1 SECOND")))
+        .union(chunk(months, "year", year, year + F.expr("INTERVAL 365 DAY")).distinct())
+        .union(orders.agg(F.lit("all"), F.min(begin), F.max("o_orderdate")))
+        .union(months.agg(F.lit("empty"), F.min("m"), F.min("m")))
+    )
+    return sweep_chunks(orders, chunks, "o_orderdate", ["o_orderkey"])
+
+
 # Two landings of the events that share ten days.
 FIRST_SQL = "SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20'"
 SECOND_SQL = "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-10'"

@@ -12,6 +12,7 @@ from trackmill.operators.grouping import (
     latest_per_project,
     retain_last,
     timeline,
+    timeline_gaps,
 )
 from trackmill.operators.filters import HistoryFilter, IssueFilter
 from trackmill.operators.ordering import (
@@ -183,6 +184,17 @@ def issue_timeline(spark, sf_dir):
     ))
 
 
+@query("q_w5_gaps", f"""WITH {HISTORY_SQL}, chained AS (
+  SELECT *, LAG(to_display_value) OVER w AS expected, ROW_NUMBER() OVER w AS place
+  FROM history WINDOW w AS (PARTITION BY issue_key, field_name ORDER BY change_timestamp, change_id))
+SELECT issue_key, field_name, change_timestamp, change_id, from_display_value, expected FROM chained
+WHERE place > 1 AND expected IS DISTINCT FROM from_display_value""")
+def timeline_breaks(spark, sf_dir):
+    return timeline_gaps(history(spark, sf_dir), ["change_id"]).select(
+        "issue_key", "field_name", "change_timestamp", "change_id", "from_display_value", "expected"
+    )
+
+
 # --- upsert and delete -------------------------------------------------------
 
 
