@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from trackmill.functions.instants import instant
-from trackmill.operators import sync
+from trackmill.operators import project_sync, sync
 from trackmill.operators.chunks import covering_chunks, rows_per_chunk
 from trackmill.operators.grouping import last_wins
 from trackmill.plans.registry import query
@@ -21,9 +21,10 @@ from trackmill.plans.standins import (
     runs,
     table,
 )
-from trackmill.session import scratch_path
+from trackmill.session import durable, scratch_path
 from trackmill.sources.tables import ChangeTable, save_table
 from trackmill.streaming import incremental as streams
+from trackmill.streaming import marks
 
 
 @query("q_time_chunks", """
@@ -149,6 +150,78 @@ def sync_rounds(spark, sf_dir):
     return two.runs.select(*first.columns)
 
 
+# Earlier runs: the projects' last successes differ, one has only failed, one has never run.
+PROJECT_RUNS = [
+    ("AUTOMOBILE", 1, "2001-02-01 00:00:00", True), ("AUTOMOBILE", 2, "2001-06-01 00:00:00", True),
+    ("BUILDING", 1, SINCE, True), ("BUILDING", 2, "2001-07-01 00:00:00", False),
+    ("FURNITURE", 1, "2001-07-15 00:00:00", False),
+]
+PROJECT_RUNS_SQL = ", ".join(
+    f"('{project}', CAST({run_id} AS BIGINT), TIMESTAMP '{end}', {success})" for project, run_id, end, success in PROJECT_RUNS
+)
+NEXT_AS_OF = "2001-08-02 00:00:00"
+
+
+def _project_run_sql(name: str, runs: str, known: str, as_of: str, failed: str) -> str:
+    """Marks, fetched issues, record and merged table of one run."""
+    return f"""
+{name}_marks AS (SELECT project_key, ARG_MAX(end_time, run_id) AS since FROM {runs} WHERE is_success GROUP BY project_key),
+{name}_fetched AS (
+  SELECT i.id, i.issue_key, i.project_key, i.status_name, i.created, i.updated,
+         CASE WHEN k.id IS NULL THEN 'new' ELSE 'updated' END AS sync_kind
+  FROM issues i LEFT JOIN {known} k ON i.issue_key = k.issue_key
+    LEFT JOIN {name}_marks m ON i.project_key = m.project_key
+  WHERE (i.created BETWEEN COALESCE(since, TIMESTAMP '{as_of}' - INTERVAL 24 HOUR) AND TIMESTAMP '{as_of}'
+      OR i.updated BETWEEN COALESCE(since, TIMESTAMP '{as_of}' - INTERVAL 24 HOUR) AND TIMESTAMP '{as_of}')
+    AND (k.updated IS NULL OR k.updated <> i.updated) AND i.project_key IS DISTINCT FROM '{failed}'),
+{name}_everyone AS (
+  SELECT project_key FROM {runs} UNION SELECT project_key FROM {name}_fetched WHERE project_key IS NOT NULL
+  UNION SELECT '{failed}' WHERE '{failed}' <> ''),
+{name}_record AS (
+  SELECT e.project_key, COALESCE((SELECT MAX(run_id) FROM {runs} r WHERE r.project_key = e.project_key), 0) + 1 AS run_id,
+    COALESCE(since, TIMESTAMP '{as_of}' - INTERVAL 24 HOUR) AS start_time, TIMESTAMP '{as_of}' AS end_time,
+    (SELECT COUNT(*) FROM {name}_fetched f WHERE f.project_key = e.project_key) AS synced_count,
+    (SELECT COUNT(*) FROM {name}_fetched f WHERE f.project_key = e.project_key AND sync_kind = 'new') AS new_count,
+    e.project_key <> '{failed}' AS is_success
+  FROM {name}_everyone e LEFT JOIN {name}_marks m ON e.project_key = m.project_key),
+{name}_runs AS (
+  SELECT project_key, run_id, end_time, is_success FROM {runs}
+  UNION ALL SELECT project_key, run_id, end_time, is_success FROM {name}_record),
+{name}_merged AS (
+  SELECT {', '.join(STATE)} FROM {name}_fetched
+  UNION ALL SELECT {', '.join(STATE)} FROM {known} WHERE id NOT IN (SELECT id FROM {name}_fetched))"""
+
+
+PROJECT_ROUNDS_SQL = f"""WITH {ISSUES_SQL}, {KNOWN_SQL},
+earlier AS (SELECT * FROM (VALUES {PROJECT_RUNS_SQL}) AS r(project_key, run_id, end_time, is_success)),
+{_project_run_sql('one', 'earlier', 'known', ORDERS_AS_OF, 'MACHINERY')},
+{_project_run_sql('two', 'one_runs', 'one_merged', NEXT_AS_OF, '')}"""
+RECORD = ("project_key", "run_id", "start_time", "end_time", "synced_count", "new_count", "is_success")
+
+
+def _project_rounds(spark, sf_dir):
+    """Two runs by project: in the first one project cannot be read."""
+    source, known = issues(spark, sf_dir).select(*STATE), _known(spark, sf_dir)
+    runs = spark.createDataFrame(PROJECT_RUNS, "project_key string, run_id long, end_time string, is_success boolean")
+    runs = runs.withColumn("end_time", F.col("end_time").cast("timestamp_ntz"))
+    failed = spark.createDataFrame([("MACHINERY", "no answer")], "project_key string, error_message string")
+    one = project_sync.run_by_project(source, known, runs, ORDERS_AS_OF, failed)
+    two = project_sync.run_by_project(source, durable(one.merged), one.runs, NEXT_AS_OF)
+    return one, two
+
+
+@query("q_t3_projects", f"""{PROJECT_ROUNDS_SQL}
+SELECT {', '.join(RECORD)} FROM one_record UNION ALL SELECT {', '.join(RECORD)} FROM two_record""")
+def project_rounds(spark, sf_dir):
+    one, two = _project_rounds(spark, sf_dir)
+    return one.record.select(*RECORD).union(two.record.select(*RECORD))
+
+
+@query("q_t3_projects_merged", f"{PROJECT_ROUNDS_SQL} SELECT {', '.join(STATE)} FROM two_merged")
+def project_rounds_merged(spark, sf_dir):
+    return _project_rounds(spark, sf_dir)[1].merged
+
+
 @query("q_deleted_keys", """SELECT DISTINCT user_id FROM events
 WHERE user_id NOT IN (SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-29')""")
 def deleted(spark, sf_dir):
@@ -218,6 +291,23 @@ def stream_upsert(spark, sf_dir):
     return store.current().withColumn("updated", F.col("updated").cast("timestamp_ntz"))
 
 
+@query("q_t3_marks", """
+SELECT project_key, last_success,
+  DATE_TRUNC('millisecond', last_success) + INTERVAL 180 MINUTE <= (SELECT DATE_TRUNC('millisecond', MAX(ts)) FROM events) - INTERVAL 1 HOUR AS overdue
+FROM (SELECT 'user-' || user_id AS project_key, MAX(ts) FILTER (event_type <> 'error') AS last_success FROM events GROUP BY user_id)
+WHERE last_success IS NOT NULL""")
+def project_marks(spark, sf_dir):
+    """Events as run reports of their users' projects, streamed into marks."""
+    schema = table(spark, sf_dir, "events").schema
+    reports = streams.table_drops(spark, f"{sf_dir}/events.parquet", schema, "ts").select(
+        F.concat(F.lit("user-"), "user_id").alias("project_key"), F.col("ts").alias("end_time"),
+        (F.col("event_type") != "error").alias("is_success"),
+    )
+    told = marks.project_mark_stream(reports, 180, "1 hour")
+    found = marks.marks_of(streams.run_to_end(told, scratch_path(spark, "marks"), scratch_path(spark, "offsets")))
+    return found.withColumn("last_success", F.col("last_success").cast("timestamp_ntz"))
+
+
 @query("q_t1", f"""WITH {FLAT_SQL},
 span AS (SELECT MIN(created) AS a, MAX(created) AS b FROM flat_issues),
 starts AS (SELECT b, UNNEST(GENERATE_SERIES(a, b - INTERVAL 1 MICROSECOND, INTERVAL 720 HOUR)) AS s FROM span)
