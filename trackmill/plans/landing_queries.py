@@ -28,8 +28,9 @@ from trackmill.plans.standins import (
     table,
 )
 from trackmill.plans.stat_queries import STORAGE_STATS_SQL
-from trackmill.session import scratch_path
-from trackmill.sources import landing, tables
+from trackmill.schemas import ISSUE_DOCUMENT
+from trackmill.session import durable, scratch_path
+from trackmill.sources import arrays, landing, tables
 
 FLAT = (
     "id", "issue_key", "summary", "status_name", "priority_name", "issue_type_name", "project_key",
@@ -214,6 +215,34 @@ def s2_array(spark, sf_dir):
     )
 
 
+def array_file(documents, path):
+    """Documents as one pretty-printed array in one file.  Of every thousandth the last bracket is
+    missing."""
+    typed = F.from_json("raw_json", ISSUE_DOCUMENT)
+    text = F.regexp_replace(F.to_json(typed, {"pretty": "true"}), "(?m)^", "  ")
+    cut = F.get_json_object("raw_json", "$.id").cast("long") % 1000 == 7
+    text = F.when(cut, F.regexp_replace(text, r"\}\s*$", "")).otherwise(text)
+    spark = documents.sparkSession
+    records = documents.select(F.concat(text, F.lit(",")).alias("value"))
+    around = [spark.range(1).select(F.lit(line).alias("value")) for line in ("[", '  {\n    "id" : "last, [of all] \\"{"\n  }\n]')]
+    around[0].union(records).union(around[1]).coalesce(1).write.text(path)
+
+
+@query("q_s2_split", f"""WITH {ISSUES_SQL}, marked AS (
+  SELECT id, CAST(id AS BIGINT) % 1000 = 7 AS cut, id IN (SELECT change_of FROM last_change) AS changed FROM issues)
+SELECT id, CASE WHEN cut THEN 'malformed document' WHEN changed THEN 'read' ELSE 'missing or malformed fields.updated' END AS outcome
+FROM marked UNION ALL SELECT 'last, [of all] "{{', 'missing or malformed key'""")
+def s2_split(spark, sf_dir):
+    """One array file read in blocks by many tasks; records cut off spoil no other."""
+    path = scratch_path(spark, "array")
+    array_file(issue_documents(spark, sf_dir), path)
+    found = durable(arrays.read_arrays(spark, path, block_bytes=64 << 10))
+    read = landing.rehydrate(found).select(F.col("issue.id").alias("id"), F.lit("read").alias("outcome"))
+    own = F.regexp_extract("raw_json", r'"id" : "((?:[^"\\]|\\.)*)"', 1)
+    broken = landing.issue_quarantine(found).select(F.regexp_replace(own, r'\\"', '"').alias("id"), F.col("reason").alias("outcome"))
+    return read.union(broken)
+
+
 @query("q_search_users", """SELECT c_custkey, c_name FROM customer
 WHERE CONTAINS(LOWER(c_name), '77') OR CONTAINS(LOWER(c_mktsegment), '77')""")
 def search_users(spark, sf_dir):
