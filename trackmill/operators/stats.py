@@ -25,6 +25,9 @@ JSON_TYPES = {
 # --- end of fixed values ---
 
 
+STAT_PARTS = ["project_key", "status_name", "issue_type_name"]
+
+
 def total(issues: DataFrame) -> DataFrame:
     return issues.agg(F.count("*").alias("total_issues"))
 
@@ -45,16 +48,21 @@ def storage_stats(issues: DataFrame) -> DataFrame:
     The issues are read once and reduced to their few combinations; the grouping sets
     expand those and not the issues.
     """
-    parts = ["project_key", "status_name", "issue_type_name"]
-    combinations = issues.groupBy(*parts).agg(F.count("*").alias("_n"))
+    combinations = issues.groupBy(*STAT_PARTS).agg(F.count("*").alias("_n"))
+    rows = _by_metric(combinations)
+    return rows.where((F.col("n") > 0) | (F.col("metric") == "total"))
+
+
+def _by_metric(combinations: DataFrame) -> DataFrame:
+    """Rows ``(metric, key, n)`` of combinations of project, status and type with their ``_n``."""
     # An empty table still has a total.
-    nothing = issues.sparkSession.range(1).select(
-        *[F.lit(None).cast("string").alias(part) for part in parts], F.lit(0).cast("long").alias("_n")
+    nothing = combinations.sparkSession.range(1).select(
+        *[F.lit(None).cast("string").alias(part) for part in STAT_PARTS], F.lit(0).cast("long").alias("_n")
     )
     combinations = combinations.unionByName(nothing)
-    sets = [[], *[[F.col(part)] for part in parts]]
-    grouped = combinations.groupingSets(sets, *[F.col(part) for part in parts]).agg(
-        F.sum("_n").alias("n"), *[F.grouping(part).alias(f"_{part}") for part in parts]
+    sets = [[], *[[F.col(part)] for part in STAT_PARTS]]
+    grouped = combinations.groupingSets(sets, *[F.col(part) for part in STAT_PARTS]).agg(
+        F.sum("_n").alias("n"), *[F.grouping(part).alias(f"_{part}") for part in STAT_PARTS]
     )
     metric = (
         F.when(F.col("_project_key") == 0, "project")
@@ -64,8 +72,27 @@ def storage_stats(issues: DataFrame) -> DataFrame:
     )
     key = F.coalesce("project_key", "status_name", "issue_type_name")
     rows = grouped.select(metric.alias("metric"), key.alias("key"), "n")
-    named = (F.col("n") > 0) & ((F.col("metric") != "project") | F.col("key").isNotNull())
-    return rows.where((F.col("metric") == "total") | named)
+    return rows.where((F.col("metric") != "project") | F.col("key").isNotNull())
+
+
+def stats_delta(changes: DataFrame) -> DataFrame:
+    """What a change feed (``upsert.change_feed``) does to the statistics: signed rows
+    ``(metric, key, n)``.  A row that was counts -1, a row that is now +1; the base is not read."""
+    sides = [
+        changes.where(F.col(side).isNotNull()).select(*[F.col(f"{side}.{part}") for part in STAT_PARTS], F.lit(sign).alias("_one"))
+        for side, sign in (("before", -1), ("after", 1))
+    ]
+    combinations = sides[0].unionByName(sides[1]).groupBy(*STAT_PARTS).agg(F.sum("_one").cast("long").alias("_n"))
+    return _by_metric(combinations.where(F.col("_n") != 0)).where(F.col("n") != 0)
+
+
+def fold_stats(snapshot: DataFrame, delta: DataFrame) -> DataFrame:
+    """The stored statistics with the changes taken in.  What no issue has any more is no row, but the
+    total stays; a count below nothing says that a change was taken in twice, and fails."""
+    both = snapshot.unionByName(delta).groupBy("metric", "key").agg(F.sum("n").alias("n"))
+    short = F.raise_error(F.concat_ws(" ", F.lit("changes take more than there was of"), "metric", "key"))
+    checked = F.when(F.col("n") < 0, short.cast("long")).otherwise(F.col("n"))
+    return both.where((F.col("n") != 0) | (F.col("metric") == "total")).select("metric", "key", checked.alias("n"))
 
 
 def count_matching(issues: DataFrame, spec: IssueFilter) -> DataFrame:
@@ -76,7 +103,8 @@ def count_matching(issues: DataFrame, spec: IssueFilter) -> DataFrame:
 def history_stats(history: DataFrame, approximate: bool = False) -> DataFrame:
     """Changes, issues, authors and the span of change times.
 
-    Issues and authors are reduced to one row each and counted; no row is multiplied.
+    History is read once and reduced to its pairs of issue and author; each pair then says its
+    issue and its author, which are reduced to one row each and counted.
     ``approximate`` counts them with a sketch instead, in one pass that shuffles no keys.
     """
     if approximate:
@@ -87,16 +115,27 @@ def history_stats(history: DataFrame, approximate: bool = False) -> DataFrame:
             F.min("change_timestamp").alias("oldest_change"),
             F.max("change_timestamp").alias("newest_change"),
         )
-    by_issue = history.groupBy("issue_key").agg(
+    pairs = history.groupBy("issue_key", "author_account_id").agg(
         F.count("*").alias("_n"), F.min("change_timestamp").alias("_first"), F.max("change_timestamp").alias("_last")
     )
-    authors = history.groupBy("author_account_id").agg(F.count("*").alias("_n")).agg(F.count("author_account_id"))
-    return by_issue.agg(
+    # Each pair says its issue and its author; a key's first row, whichever it is, stands for it.
+    keyed = pairs.select(
+        "_n", "_first", "_last",
+        F.explode(F.array(
+            F.struct(F.lit("issue").alias("kind"), F.col("issue_key").alias("key"), F.lit(1).alias("counts")),
+            F.struct(F.lit("author").alias("kind"), F.col("author_account_id").alias("key"), F.lit(0).alias("counts")),
+        )).alias("_of"),
+    )
+    found = keyed.groupBy("_of.kind", "_of.key").agg(
+        F.sum(F.col("_n") * F.col("_of.counts")).alias("_n"), F.min("_first").alias("_first"), F.max("_last").alias("_last")
+    )
+    return found.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total_changes"),
-        F.count("issue_key").alias("unique_issues"),
+        F.count(F.when(F.col("kind") == "issue", F.col("key"))).alias("unique_issues"),
+        F.count(F.when(F.col("kind") == "author", F.col("key"))).alias("unique_authors"),
         F.min("_first").alias("oldest_change"),
         F.max("_last").alias("newest_change"),
-    ).select("total_changes", "unique_issues", authors.scalar().alias("unique_authors"), "oldest_change", "newest_change")
+    )
 
 
 def changes_per_field(history: DataFrame) -> DataFrame:
@@ -236,24 +275,52 @@ def in_span(history: DataFrame, span: DateRange) -> DataFrame:
     return inside.where(months_between(span.start, span.end)) if MONTH in history.columns else inside
 
 
-def project_history_stats(history: DataFrame, issues: DataFrame, span: DateRange) -> DataFrame:
-    """Changes of a span per project and change type, with the issues and authors they touch.
+def _owned(history: DataFrame, issues: DataFrame, projects: Sequence[str] | None) -> DataFrame:
+    """Changes with the project of their issue, of the listed projects or of all.  Every issue occurs
+    once on that side, so an issue with very many changes is split by adaptive execution."""
+    owners = issues.where(F.col("project_key").isNotNull())
+    if projects is not None:
+        owners = owners.where(F.col("project_key").isin(list(projects)))
+    return history.join(owners.select(F.col("id").alias("issue_id"), "project_key"), "issue_id")
 
-    The project of a change is that of its issue; every issue occurs once on that side, so
-    a project or an issue with very many changes is split by adaptive execution.
-    """
-    owners = issues.select(F.col("id").alias("issue_id"), "project_key")
-    owned = in_span(history, span).join(owners, "issue_id").where(F.col("project_key").isNotNull())
+
+def project_history_stats(history: DataFrame, issues: DataFrame, span: DateRange,
+                          projects: Sequence[str] | None = None) -> DataFrame:
+    """Changes of a span per project and change type, and their first and last time."""
+    owned = _owned(in_span(history, span), issues, projects)
     return with_change_group(owned).groupBy("project_key", "change_group").agg(
         F.count("*").alias("changes"), F.min("change_timestamp").alias("first_change"),
         F.max("change_timestamp").alias("last_change"),
     )
 
 
-def top_authors_of(history: DataFrame, issues: DataFrame, project_key: str, k: int,
+def project_activity(history: DataFrame, issues: DataFrame, span: DateRange,
+                     projects: Sequence[str] | None = None) -> DataFrame:
+    """Changes of a span per project, with how many of its issues have history and how many
+    authors made it.
+
+    Changes are reduced to (project, issue, author) first; a project with very many is then counted
+    by issue and by author, each of which combines inside tasks.
+    """
+    triples = _owned(in_span(history, span), issues, projects).groupBy(
+        "project_key", "issue_key", "author_account_id"
+    ).agg(F.count("*").alias("_n"))
+    keyed = triples.select("project_key", F.explode(F.array(
+        F.struct(F.lit(True).alias("issue"), F.col("issue_key").alias("key"), F.col("_n").alias("n")),
+        F.struct(F.lit(False).alias("issue"), F.col("author_account_id").alias("key"), F.lit(0).cast("long").alias("n")),
+    )).alias("_of"))
+    once = keyed.groupBy("project_key", "_of.issue", "_of.key").agg(F.sum("_of.n").alias("_n"))
+    return once.groupBy("project_key").agg(
+        F.sum("_n").alias("changes"), F.count(F.when(F.col("issue"), F.col("key"))).alias("issues_with_history"),
+        F.count(F.when(~F.col("issue"), F.col("key"))).alias("authors"),
+    )
+
+
+def top_authors_of(history: DataFrame, issues: DataFrame, project_key: str | Sequence[str], k: int,
                    span: DateRange | None = None) -> DataFrame:
-    """The ``k`` most active authors on the issues of one project."""
-    own = issues.where(F.col("project_key") == project_key).select(F.col("id").alias("issue_id"))
+    """The ``k`` most active authors on the issues of one project, or of a list of them."""
+    listed = [project_key] if isinstance(project_key, str) else list(project_key)
+    own = issues.where(F.col("project_key").isin(listed)).select(F.col("id").alias("issue_id"))
     return top_authors(history.join(own, "issue_id", "left_semi").select(*history.columns), k, span)
 
 
