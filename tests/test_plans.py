@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from trackmill.operators.grouping import first_seen, latest_per_project
+from trackmill.operators.joins import classify
 from trackmill.operators.ordering import issue_order, take_page
 from trackmill.operators.stats import storage_stats
 from trackmill.plans.registry import REGISTRY
@@ -18,7 +19,8 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test table
 # Queries that write or stream do so when they are built.
 EAGER = {"q_scan_pages", "q_s2", "q_s3", "q_s6", "q_s8", "q_s9", "q_s12", "q_s14", "q_s15",
          "q_t3", "q_t6", "q_t7", "q_o11", "q_o12", "q_incremental", "q_a17", "q_sync_rounds",
-         "q_project_history_stats", "q_f7_stored", "q_f17_stored", "q_s12_quarantine", "q_s2_array"}
+         "q_project_history_stats", "q_s2_split", "q_t3_projects", "q_t3_projects_merged", "q_t3_marks", "q_u2_digest",
+         "q_s14_delta", "q_s6_feed", "q_s6_bucketed", "q_a7_sketch", "q_s15_curve", "q_f10_indexed", "q_o11_stored", "q_f7_stored", "q_f17_stored", "q_s12_quarantine", "q_s2_array"}
 
 
 def plan(df) -> str:
@@ -107,3 +109,13 @@ def test_deep_limits_start_no_job(spark):
     before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
     take_page(rows, issue_order("created_desc"), limit=100_001)
     assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+def test_history_statistics_read_history_once(spark):
+    assert plan(run(spark, "q_history_stats")).count("lineitem.parquet") == 1
+
+
+def test_the_known_table_is_cut_to_the_fetched_keys_before_it_is_grouped(spark):
+    known = table(spark, SF_DIR, "orders").selectExpr("o_orderkey AS issue_key", "o_orderdate AS updated")
+    text = plan(classify(known.limit(10), known, version="updated", few=True))
+    assert "LeftSemi" in text and text.index("collect_set") < text.index("LeftSemi")

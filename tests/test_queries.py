@@ -21,7 +21,7 @@ def test_entry(spark):
     assert driver.entry(spark).columns == ["project_status", "n", "percent"]
 
 
-@pytest.mark.parametrize("name", sorted(REGISTRY))
+@pytest.mark.parametrize("name", sorted(name for name, query in REGISTRY.items() if query.sql))
 def test_query(spark, connection, name):
     result = driver.queries()[name](spark, SF_DIR)
     assert oracle.difference(result, connection, driver.oracle_sql()[name]) is None

@@ -274,19 +274,19 @@ def stream_counts(spark, sf_dir):
 FROM events GROUP BY user_id""")
 def stream_upsert(spark, sf_dir):
     """Later events streamed as upserts into the state of the earlier ones, the newest drop
-    first and one drop per micro-batch."""
+    first.  A drop has as many files as Spark writes; a micro-batch takes a few."""
     source = table(spark, sf_dir, "events")
     base, changes = scratch_path(spark, "base"), scratch_path(spark, "changes")
     drop = scratch_path(spark, "drops")
     later = source.where(F.col("ts") >= instant("2024-01-15"))
     days = [instant(f"2024-01-{day}") for day in (15, 20, 25)] + [instant("2100-01-01")]
     for start, end in reversed(list(zip(days, days[1:], strict=False))):
-        later.where((F.col("ts") >= start) & (F.col("ts") < end)).coalesce(1).write.mode("append").parquet(drop)
+        later.where((F.col("ts") >= start) & (F.col("ts") < end)).write.mode("append").parquet(drop)
     shaped = [F.col("user_id").alias("id"), "event_type", F.col("ts").cast("timestamp").alias("updated")]
     earlier = source.where(F.col("ts") < instant("2024-01-15")).select(*shaped)
     store = ChangeTable(spark, base, changes)
     save_table(last_wins(earlier, ["id"], [F.col("updated").desc()]), base)
-    stream = streams.drops(spark, drop, source.schema, "ts", files_per_trigger=1).select(*shaped)
+    stream = streams.drops(spark, drop, source.schema, "ts", files_per_trigger=8).select(*shaped)
     streams.upsert_stream(stream, store, scratch_path(spark, "offsets")).awaitTermination()
     return store.current().withColumn("updated", F.col("updated").cast("timestamp_ntz"))
 

@@ -16,6 +16,7 @@ from trackmill.operators.filters import MONTH
 from trackmill.operators.grouping import last_wins
 from trackmill.operators.stats import storage_stats
 from trackmill.operators.upsert import upsert
+from trackmill.session import durable
 
 CREATED_DATE = "created_date"
 NATURAL_HISTORY_KEY = ("issue_id", "change_id", "item_pos")
@@ -78,6 +79,7 @@ def append_history(history: DataFrame, path: str, only_new: bool = True) -> int:
     rows = with_month(history)
     stored = table_or_none(history.sparkSession, path) if only_new else None
     if stored is not None:
+        rows = durable(rows)  # its months and its rows are both asked for
         months = rows.select(MONTH).distinct()
         seen_keys = stored.join(months, MONTH, "left_semi").select(*NATURAL_HISTORY_KEY)
         rows = rows.join(seen_keys, list(NATURAL_HISTORY_KEY), "left_anti")

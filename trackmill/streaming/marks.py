@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-MARKS = "project_key string, kind string, last_success timestamp"
+MARKS = "project_key string, kind string, micros long"
 
 
 class ProjectMarks(StatefulProcessor):
@@ -28,23 +28,23 @@ class ProjectMarks(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.mark = handle.getValueState("mark", "at timestamp")
+        self.mark = handle.getValueState("mark", "micros long")  # since 1970
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        latest = max((row["end_time"] for row in rows if row["is_success"] and row["end_time"] is not None), default=None)
+        latest = max((row["micros"] for row in rows if row["is_success"] and row["micros"] is not None), default=None)
         known = self.mark.get()
         if latest is None or (known is not None and known[0] >= latest):
             return
         self.mark.update((latest,))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        self.handle.registerTimer(int(latest.timestamp() * 1000) + self.interval_ms)
-        yield Row(project_key=key[0], kind="mark", last_success=latest)
+        self.handle.registerTimer(latest // 1000 + self.interval_ms)
+        yield Row(project_key=key[0], kind="mark", micros=latest)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         known = self.mark.get()
         if known is not None:
-            yield Row(project_key=key[0], kind="overdue", last_success=known[0])
+            yield Row(project_key=key[0], kind="overdue", micros=known[0])
 
     def close(self) -> None:
         pass
@@ -60,10 +60,13 @@ def project_mark_stream(reports: DataFrame, interval_minutes: int, delay: str) -
     """
     spark = reports.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    watched = reports.where(F.col("project_key").isNotNull()).withWatermark("end_time", delay)
-    return watched.groupBy("project_key").transformWithState(
+    timed = reports.where(F.col("project_key").isNotNull()).select(
+        "project_key", "end_time", "is_success", F.unix_micros("end_time").alias("micros")
+    )
+    told = timed.withWatermark("end_time", delay).groupBy("project_key").transformWithState(
         ProjectMarks(interval_minutes * 60_000), MARKS, "append", "eventTime"
     )
+    return told.select("project_key", "kind", F.timestamp_micros("micros").alias("last_success"))
 
 
 def marks_of(told: DataFrame) -> DataFrame:
