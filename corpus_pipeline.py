@@ -9,35 +9,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackmill.llm import decontaminate, mixing, near_copies, token_files, toxicity
+from trackmill.llm import decontaminate, mixing, simhash, token_files, toxicity
 from trackmill.llm.common import table
 from trackmill.session import scratch_path
 
 
+# Each stage says what it does with odd rows; rows are as its operator takes them, and an empty
+# table gives an empty one.
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model, fitted on their labelled rows, does not reject."""
+    """Documents that the toxicity model, fitted on their labelled rows, does not reject.  Absent and
+    empty texts show no evidence and are judged alike; repeated rows stay or go together."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.without_toxic(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (similarity 0.8 of their five-word shingles),
-    that with the smallest identifier."""
-    return near_copies.one_of_each(docs)
+    """One document of each group of near copies, whose SimHash fingerprints of three-word shingles
+    are linked at two differing bits or fewer: that with the smallest identifier, absent ones last.
+    Texts without words are one group; of repeated rows one stays."""
+    return simhash.one_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, not even with a fifth of its words changed."""
+    """Documents that hold no benchmark item, not even with a fifth of its words changed.  Absent and
+    empty texts hold none; repeated rows stay or go together."""
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, so that sources meet their targets."""
+    """Documents as often as the mix takes them, so that sources meet their targets.  Absent sources
+    are one source; texts without words stand in the mix once."""
     return mixing.mixed(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of all documents; per document its identifier, start, length and checksum."""
+    """Token files of all documents; per document its identifier, start, length and checksum.  Absent
+    identifiers stand first, an absent or empty text is its end id alone, repeated rows are repeated."""
     return token_files.token_files(docs).withColumnRenamed("id", "doc_id")
 
 
