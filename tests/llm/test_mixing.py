@@ -81,3 +81,17 @@ def test_running_sums(spark):
     for row in found:
         total += row["v"]
         assert row["to"] == total
+
+
+def test_mixed_keeps_any_columns_and_shares_out_repeated_rows(spark):
+    rows = [(1, "a b c", "x")] * 4 + [(2, "d e", None), (None, None, None), (None, None, None), (3, "f g h i", "y")]
+    names = "_key int, _twin int, _copy int, _copies int, _other int, _row int, _rows int, _times int, position int"
+    docs = spark.createDataFrame([(*r, *range(9)) for r in rows], "doc_id long, text string, source string, " + names)
+    found = mixed(docs.repartition(3))
+    assert found.columns == docs.columns
+    assert all(tuple(r)[3:] == tuple(range(9)) for r in found.collect())
+    told = {}
+    for r in fair_mix(docs).collect():
+        told[r["id"], r["source"]] = told.get((r["id"], r["source"]), 0) + r["copies"]
+    counted = {(r["doc_id"], r["source"]): r["count"] for r in found.groupBy("doc_id", "source").count().collect()}
+    assert counted == {key: n for key, n in told.items() if n}

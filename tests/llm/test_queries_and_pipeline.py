@@ -28,8 +28,10 @@ def test_sql(spark, connection, name):
 @pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_one_row_per_row(spark, connection, name):
     found = REGISTRY[name].run(spark, SF_DIR)
-    table = "pages" if "page_id" in found.columns else "documents"
-    if name == "op3_decontaminate":
+    table = "pages" if "page_id" in found.columns else "embeddings" if "vec_id" in found.columns else "documents"
+    if name == "op11_collocations":
+        assert found.count() == found.select("lang", "phrase").distinct().count()
+    elif name == "op3_decontaminate":
         assert found.count() == found.select("doc_id", "item_id").distinct().count()
     else:
         assert found.count() == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
@@ -43,7 +45,7 @@ def test_native(spark, name):
 
 
 def test_names():
-    assert {name.split("_")[0] for name in REGISTRY} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in REGISTRY} == {f"op{n}" for n in range(1, 14)}
     assert set(driver.queries()) >= set(REGISTRY) | {"pipeline"}
 
 
@@ -70,3 +72,39 @@ def test_pipeline_stages_take_odd_and_no_rows(spark, odd_docs, no_docs):
             docs = stage(spark, docs, SF_DIR)
             assert docs.columns == names, name
         corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count()
+
+
+SHIPPED = """
+import importlib.util, shutil, sys, tempfile
+folder = tempfile.mkdtemp()
+shutil.copytree("{repo}/trackmill", folder + "/trackmill")
+sys.path.insert(0, folder)  # the driver's own copy; workers start without it
+from pyspark.sql import SparkSession
+from trackmill.llm.queries import REGISTRY
+import trackmill
+assert trackmill.__file__.startswith(folder)
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
+    "spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", tempfile.mkdtemp()).config(
+    "spark.driver.bindAddress", "127.0.0.1").config("spark.driver.host", "127.0.0.1").getOrCreate()
+spark.sparkContext.setLogLevel("OFF")
+def there(_):
+    return [importlib.util.find_spec("trackmill") is not None]
+assert not any(spark.sparkContext.parallelize(range(2), 2).mapPartitions(there).collect())
+for name, query in REGISTRY.items():
+    assert query.run(spark, "{sf}").count() > 0 or name == "op11_collocations", name
+print("all ran")
+"""
+
+
+def test_workers_need_no_copy_of_the_library(tmp_path):
+    """All queries in a session whose workers cannot import the library."""
+    import os
+    import subprocess
+    import sys
+
+    repo = str(Path(driver.__file__).parent)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", SHIPPED.format(repo=repo, sf=SF_DIR)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900
+    )
+    assert done.stdout.strip().endswith("all ran"), done.stderr[-3000:]

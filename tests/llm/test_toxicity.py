@@ -4,7 +4,18 @@ import zlib
 import numpy as np
 import pytest
 
-from trackmill.llm.toxicity import fit_evidence, grams, score_documents, shared_backoff, train, without_toxic
+import pyarrow as pa
+from plain_kneser_ney import plain_evidence, plain_shared, word_evidence
+
+from trackmill.llm.toxicity import (
+    fit_evidence,
+    grams,
+    read_grams,
+    score_documents,
+    shared_backoff,
+    train,
+    without_toxic,
+)
 
 SYLLABLES = ["ra", "ti", "no", "be", "shu", "lo", "ke"]
 
@@ -48,7 +59,7 @@ def test_held_out_labels_are_not_learnt_from(tables, model):
     turned = labels.selectExpr("doc_id", "IF(crc32(cast(cast(doc_id AS string) AS binary)) % 5 = 0, 1 - toxic, toxic) AS toxic")
     again = train(docs, turned)
     assert np.allclose(again.weights, model.weights)
-    assert again.evidence == model.evidence
+    assert all(np.array_equal(a, b) for a, b in zip(again.evidence, model.evidence, strict=True))
 
 
 def test_filter_keeps_clean_documents(tables, model):
@@ -60,12 +71,35 @@ def test_filter_keeps_clean_documents(tables, model):
 
 
 def test_backoff_is_a_distribution():
-    counts = ({g: 3 for g in grams("banana")}, {g: 2 for g in grams("bandana")})
-    shared = shared_backoff(set(counts[0]) | set(counts[1]))
-    singles = [p for gram, p in shared.items() if len(gram) == 1]
-    assert 0 < sum(singles) <= 1
-    evidence = fit_evidence(counts)
-    assert evidence.of_word("bandana") > 0 > evidence.of_word("banana")
+    names = sorted({*grams("banana"), *grams("bandana")})
+    key, chance = shared_backoff(read_grams(pa.array(names)))
+    singles = read_grams(pa.array(sorted("^$band"))).key
+    assert 0 < chance[np.isin(key, singles)].sum() <= 1
+    counts = tuple(np.array([n * (name in grams(word)) for name in names]) for n, word in ((3, "banana"), (2, "bandana")))
+    toxic, ordinary = fit_evidence(read_grams(pa.array(names)), counts).of_words(["bandana", "banana"])
+    assert toxic > 0 > ordinary
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_evidence_against_counting_strings(seed):
+    """The same Kneser-Ney models by dictionaries of strings."""
+    choose = random.Random(seed)
+    letters = "abcé\U0001f600漢"
+    words = ["".join(choose.choice(letters) for _ in range(choose.randint(1, 9))) for _ in range(300)]
+    classes = ({}, {})
+    for word in words[:200]:
+        own = classes[choose.random() < 0.4]
+        for gram in grams(word):
+            own[gram] = own.get(gram, 0) + choose.randint(1, 3)
+    names = sorted(set(classes[0]) | set(classes[1]))
+    every = read_grams(pa.array(names))
+    shared, (key, chance) = plain_shared(set(names)), shared_backoff(every)
+    assert len(key) == len(shared)
+    wanted = read_grams(pa.array(list(shared))).key
+    assert np.allclose(chance[np.searchsorted(key, wanted)], list(shared.values()))
+    found = fit_evidence(every, tuple(np.array([own.get(name, 0) for name in names]) for own in classes))
+    plain = plain_evidence(classes)
+    assert np.allclose(found.of_words(words), [word_evidence(plain, word) for word in words])
 
 
 def test_odd_rows(odd_docs, no_docs, tables, model):

@@ -123,16 +123,27 @@ def mixed(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: Sequence[int] = WEIGHTS, most_times: int = MOST_TIMES,
 ) -> DataFrame:
-    """The documents of the mix with all their columns, each as often as the mix takes it."""
-    # Rows that agree in all three are told apart by a number of their own.  A struct is never
-    # null and its absent members are equal, so absent keys meet too.
+    """The documents of the mix with all their columns, whatever these are called, each as often as
+    the mix takes it.
+
+    Texts, identifiers and sources may be absent.  Rows that agree in all three are as good as one
+    another: the mix takes as many of each in all.  An empty table gives no rows.
+    """
+    # A struct is never null and its absent members are equal, so absent keys meet too.
     same = F.struct(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.xxhash64(text_col).alias("text_hash"))
-    twins = F.row_number().over(W.partitionBy("_key").orderBy(F.lit(0)))
     plan = fair_mix(docs, id_col, text_col, source_col, weights, most_times).select(
         F.struct("id", "source", "text_hash").alias("_key"), F.col("copies").alias("_copies")
     )
-    plan = plan.withColumn("_other", twins).where("_copies > 0")
-    named = docs.withColumn("_key", same).withColumn("_twin", twins)
-    # Joined by the key alone, which the numbering has already dealt the texts out by.
-    joined = named.join(plan, "_key").where(F.col("_twin") - F.col("_other") == 0)
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    # One row for each key, with how often its rows go by; each of its rows takes the same part of
+    # that, and the first few one more.  Written, so that the join with it can be split.
+    plan = durable(plan.groupBy("_key").agg(F.sum("_copies").alias("_copies"), F.count("*").alias("_rows")))
+    named = docs.select(F.struct("*").alias("_row"), same.alias("_key"))
+    met = named.join(plan.where("_copies > 0"), "_key")
+    # Only rows that are told apart by nothing need a number among their like.
+    alone = met.where("_rows = 1").withColumn("_times", F.col("_copies"))
+    number = F.row_number().over(W.partitionBy("_key").orderBy(F.lit(0))) - 1
+    alike = met.where("_rows > 1").withColumn("_number", number).withColumn(
+        "_times", F.floor(F.col("_copies") / F.col("_rows")) + F.when(F.col("_number") < F.col("_copies") % F.col("_rows"), 1).otherwise(0)
+    ).drop("_number")
+    taken = alone.unionByName(alike).where("_times > 0")
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))).select("_row.*")

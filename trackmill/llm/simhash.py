@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackmill.llm.common import small_batches
@@ -56,20 +56,28 @@ def fingerprint(text: bytes, width: int = SHINGLE_WORDS, seed: int = SEED) -> in
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.int64)[0])
 
 
+def text_hash(text: Column) -> Column:
+    """Tells the texts of one identifier apart; an absent text is an empty one."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def fingerprints(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """``id`` and ``fingerprint`` of every row, written once."""
+    """``id``, ``fingerprint`` and ``text_hash`` of every row, written once."""
     small_batches(docs.sparkSession)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             marks = pa.array([fingerprint(text or b"", width) for text in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), marks], names=["id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), marks, batch.column(2)], names=["id", "fingerprint", "text_hash"]
+            )
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return durable(narrow.mapInArrow(mark, "id long, fingerprint long"))
+    text = F.col(text_col).cast("string")
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), text_hash(text).alias("text_hash"))
+    return durable(narrow.mapInArrow(mark, "id long, fingerprint long, text_hash long"))
 
 
 def bit_planes(prints: np.ndarray, lanes: np.ndarray, n_words: int) -> np.ndarray:
@@ -240,8 +248,8 @@ def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
     radius: int = RADIUS, cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """One row per input row: ``id``, ``fingerprint`` (signed), ``group`` (least fingerprint that
-    links lead to) and ``component_id``, the smallest identifier of the group.
+    """One row per input row: ``id``, ``fingerprint`` (signed), ``text_hash``, ``group`` (least fingerprint
+    that links lead to) and ``component_id``, the smallest identifier of the group.
 
     Absent and empty texts and texts of blanks have fingerprint 0, which links like any other;
     texts of fewer words than a shingle are one shingle.  Absent identifiers never name a
@@ -256,15 +264,20 @@ def near_groups(
     named = grouped.groupBy("group").agg(F.min("least_id").alias("component_id"))
     # Written, so that the join with it can be split where very many rows are copies.
     told = durable(grouped.join(named, "group").select("fingerprint", "group", "component_id"))
-    return rows.join(told, "fingerprint").select("id", "fingerprint", "group", "component_id")
+    return rows.join(told, "fingerprint").select("id", "fingerprint", "text_hash", "group", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The documents with all their columns, one of each group: the row with the smallest
-    identifier.  Of rows that repeat identifier and text one stays.  A row without an
-    identifier cannot be told from others and stays."""
-    groups = near_groups(docs, id_col, text_col, **settings)
-    stay = groups.where("id = component_id").select(F.col("id").alias("_id")).distinct()
-    found = docs.join(stay, docs[id_col] == stay["_id"], "left_semi").withColumn("_hash", F.xxhash64(text_col))
-    found = found.dropDuplicates([id_col, "_hash"]).drop("_hash")
-    return found.unionByName(docs.where(F.col(id_col).isNull()))
+    """The documents with all their columns, whatever these are called, one of each group: that with
+    the smallest identifier, absent ones last, and of rows that share it that of the smallest text
+    hash.  Of rows that repeat both identifier and text one stays.  An empty table gives no rows."""
+    first = F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "text_hash"))
+    stays = near_groups(docs, id_col, text_col, **settings).groupBy("group").agg(first.alias("first"))
+    # Written, so that the join with it can be split.
+    stays = durable(stays.select(F.col("first.id").alias("_id"), F.col("first.text_hash").alias("_hash")))
+    named = docs.select(
+        F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_own"),
+        text_hash(F.col(text_col).cast("string")).alias("_text"),
+    )
+    met = named.join(stays, (F.col("_own").eqNullSafe(F.col("_id"))) & (F.col("_text") == F.col("_hash")))
+    return met.dropDuplicates(["_own", "_text"]).select("_row.*")

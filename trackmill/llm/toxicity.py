@@ -16,12 +16,14 @@ in expectation, drawn by a hash of the identifier; their size does not grow with
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,9 @@ HELD_OUT = 0
 KEPT = 400_000
 RIDGE = 0.1
 FEATURES = 3
+#: Odd factors of an expression's characters by their distance from its last.  Two of the expressions
+#: of a model have one number with a chance of about their square over 2 ** 64.
+FACTORS = np.random.default_rng(11).integers(0, 1 << 64, ORDER, np.uint64) | np.uint64(1)
 
 
 def words_of(text: bytes) -> list[str]:
@@ -51,84 +56,146 @@ def grams(word: str) -> list[str]:
     return [bordered[max(0, i - ORDER + 1):i + 1] for i in range(1, len(bordered))]
 
 
-class Evidence(NamedTuple):
-    """Log-likelihood differences: of expressions seen in either class, and of contexts for
-    characters that neither class has shown there."""
-
-    seen: dict[str, float]
-    unseen: dict[str, float]
-
-    def of_word(self, word: str) -> float:
-        total = 0.0
-        for gram in grams(word):
-            found = self.seen.get(gram)
-            total += self.unseen.get(gram[:-1], 0.0) if found is None else found
-        return total
-
-
-def shared_backoff(seen: set[str]) -> dict[str, float]:
-    """Kneser-Ney probabilities of all shorter expressions, from both classes together."""
-    levels: list[Counter] = []
-    level = seen
-    while level:
-        shorter = Counter(gram[1:] for gram in level if len(gram) > 1)
-        if not shorter:
-            break
-        levels.append(shorter)
-        level = set(shorter)
-    total: Counter = Counter()
-    for shorter in levels:
-        total.update(shorter)
-    of_context: Counter = Counter()
-    followers: Counter = Counter()
-    for gram, n in total.items():
-        of_context[gram[:-1]] += n
-        followers[gram[:-1]] += 1
-    found: dict[str, float] = {}
-    for gram in sorted(total, key=len):
-        context = gram[:-1]
-        lower = found[gram[1:]] if context else 1.0 / (followers[""] + 1)
-        found[gram] = (total[gram] - DISCOUNT + DISCOUNT * followers[context] * lower) / of_context[context]
+def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All code points of some texts in turn, from 1 on, and the number of each text's."""
+    texts = pa.concat_arrays([texts.cast(pa.string())])  # its offsets begin at 0
+    offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4)
+    raw = texts.buffers()[2]
+    joined = raw.to_pybytes()[offsets[0]:offsets[-1]] if raw is not None else b""
+    points = np.frombuffer(joined.decode().encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
+    return points, pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def windows(points: np.ndarray, place: np.ndarray, width: int) -> np.ndarray:
+    """A number for the last ``width`` code points up to each place of its text, or as many as there
+    are: the sum of the points times a factor by their distance."""
+    found = np.zeros(len(points), np.uint64)
+    for back in range(width):
+        there = place >= back
+        found[there] += points[np.flatnonzero(there) - back] * FACTORS[back]
     return found
 
 
-def fit_evidence(counts: tuple[dict[str, float], dict[str, float]]) -> Evidence:
-    """Evidence of toxic against ordinary text from the two classes' expression counts."""
-    shared = shared_backoff(set(counts[0]) | set(counts[1]))
-    sums: list[Counter] = [Counter(), Counter()]
-    followers: list[Counter] = [Counter(), Counter()]
-    for label in (0, 1):
-        for gram, n in counts[label].items():
-            sums[label][gram[:-1]] += n
-            followers[label][gram[:-1]] += 1
+class Grams(NamedTuple):
+    """Different expressions as rows of code points, the last in the last column and 0 where there is
+    none; their lengths; and a number for each by which it is found."""
+
+    points: np.ndarray
+    length: np.ndarray
+    key: np.ndarray
+
+    def taken(self, rows: np.ndarray) -> Grams:
+        return Grams(self.points[rows], self.length[rows], self.key[rows])
+
+    def contexts(self) -> np.ndarray:
+        """Numbers of the expressions without their last character."""
+        return (self.points[:, :-1] * FACTORS[ORDER - 2::-1]).sum(1, dtype=np.uint64)
+
+    def shorter(self) -> Grams:
+        """The expressions without their first character."""
+        points = self.points.copy()
+        points[np.arange(len(points)), ORDER - self.length] = 0
+        return grams_of(points, self.length - 1)
+
+
+def grams_of(points: np.ndarray, length: np.ndarray) -> Grams:
+    return Grams(points, length, (points * FACTORS[ORDER - 1::-1]).sum(1, dtype=np.uint64))
+
+
+def read_grams(texts: pa.Array) -> Grams:
+    points, length = code_points(texts)
+    table = np.zeros((len(length), ORDER), np.uint64)
+    row = np.repeat(np.arange(len(length)), length)
+    place = np.arange(len(points)) - np.repeat(np.cumsum(length) - length, length)
+    table[row, ORDER - length[row] + place] = points
+    return grams_of(table, length)
+
+
+def shared_backoff(seen: Grams) -> tuple[np.ndarray, np.ndarray]:
+    """Kneser-Ney probabilities of all shorter expressions, from both classes together: their
+    numbers in order, and the probabilities."""
+    levels, counts, level = [], [], seen
+    while True:
+        level = level.taken(np.flatnonzero(level.length > 1)).shorter()
+        if not len(level.key):
+            break
+        _, rows, n = np.unique(level.key, return_index=True, return_counts=True)
+        level = level.taken(rows)
+        levels.append(level)
+        counts.append(n)
+    if not levels:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    every = Grams(*[np.concatenate(parts) for parts in zip(*levels, strict=True)])
+    key, rows, at = np.unique(every.key, return_index=True, return_inverse=True)
+    total = np.bincount(at, np.concatenate(counts))
+    every = every.taken(rows)
+    context, of = np.unique(every.contexts(), return_inverse=True)
+    of_context, followers = np.bincount(of, total), np.bincount(of)
+    first = 1.0 / (followers[np.searchsorted(context, 0)] + 1)  # the empty context has the number 0
+    found, suffix = np.zeros(len(key)), every.shorter().key
+    for length in range(1, ORDER + 1):
+        own = np.flatnonzero(every.length == length)
+        lower = first if length == 1 else found[np.searchsorted(key, suffix[own])]
+        found[own] = (total[own] - DISCOUNT + DISCOUNT * followers[of[own]] * lower) / of_context[of[own]]
+    return key, found
+
+
+def looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of some keys, not a number where a key is not there; ``keys`` are sorted."""
+    if not len(keys):
+        return np.full(len(wanted), np.nan)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], np.nan)
+
+
+class Evidence(NamedTuple):
+    """Log-likelihood differences by number, in the order of the numbers: of expressions seen in
+    either class, and of contexts for characters that neither class has shown there."""
 
-    def backoff(label: int, context: str) -> float:
-        n = sums[label].get(context, 0)
-        return DISCOUNT * followers[label][context] / n if n else 1.0
+    seen: np.ndarray
+    seen_value: np.ndarray
+    unseen: np.ndarray
+    unseen_value: np.ndarray
 
-    def chance(label: int, gram: str) -> float:
-        context = gram[:-1]
-        own = max(counts[label].get(gram, 0) - DISCOUNT, 0) / (sums[label].get(context, 0) or 1)
-        return own + backoff(label, context) * shared[gram[1:]]
+    def of_words(self, words: list[str]) -> np.ndarray:
+        """The sum over the characters of each word."""
+        points, length = code_points(pa.array([f"^{word}$" for word in words], pa.string()))
+        place = np.arange(len(points)) - np.repeat(np.cumsum(length) - length, length)
+        value = looked_up(self.seen, self.seen_value, windows(points, place, ORDER))
+        new = np.flatnonzero(np.isnan(value) & (place > 0))
+        context = windows(points, place, ORDER - 1)[new - 1]
+        value[new] = np.nan_to_num(looked_up(self.unseen, self.unseen_value, context))
+        value[place == 0] = 0.0  # the border before a word is no character of it
+        return np.bincount(np.repeat(np.arange(len(words)), length), value, len(words))
 
-    seen = {gram: float(np.log(chance(1, gram) / chance(0, gram))) for gram in set(counts[0]) | set(counts[1])}
-    unseen = {c: float(np.log(backoff(1, c) / backoff(0, c))) for c in set(sums[0]) | set(sums[1])}
-    return Evidence(seen, unseen)
 
+NO_EVIDENCE = Evidence(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.uint64), np.zeros(0))
+
+
+def fit_evidence(grams: Grams, counts: tuple[np.ndarray, np.ndarray]) -> Evidence:
+    """Evidence of toxic against ordinary text from the two classes' expression counts."""
+    there = np.flatnonzero(counts[0] + counts[1] > 0)
+    grams, counts = grams.taken(there), (counts[0][there], counts[1][there])
+    shared_key, shared = shared_backoff(grams)
+    lower = looked_up(shared_key, shared, grams.shorter().key)
+    context, of = np.unique(grams.contexts(), return_inverse=True)
+    chances, backoffs = [], []
+    for n in counts:
+        total, followers = np.bincount(of, n, len(context)), np.bincount(of, n > 0, len(context))
+        backoff = np.where(total > 0, DISCOUNT * followers / np.maximum(total, 1), 1.0)
+        chances.append(np.maximum(n - DISCOUNT, 0) / np.maximum(total, 1)[of] + backoff[of] * lower)
+        backoffs.append(backoff)
+    order = np.argsort(grams.key)
+    return Evidence(
+        grams.key[order], np.log(chances[1] / chances[0])[order], context, np.log(backoffs[1] / backoffs[0])
+    )
 
-def features(words: list[str], evidence: Evidence, known: dict[str, float]) -> tuple[float, float, float]:
+
+def word_features(values: list[float]) -> tuple[float, float, float]:
     """Difference per word: of the whole text, of its most toxic stretch and word; 0 without
     words."""
-    if not words:
+    if not values:
         return 0.0, 0.0, 0.0
-    values = list(map(known.get, words))
-    if None in values:
-        if len(known) > KEPT:
-            known.clear()
-        for at, value in enumerate(values):
-            if value is None:
-                word = words[at]
-                values[at] = known[word] = evidence.of_word(word)
     differences = np.array(values)
     width = min(STRETCH, len(values))
     sums = np.concatenate(([0.0], np.cumsum(differences)))
@@ -136,6 +203,16 @@ def features(words: list[str], evidence: Evidence, known: dict[str, float]) -> t
     return float(differences.mean()), float(stretch), float(differences.max())
 
 
+def features(texts: list[bytes], evidence: Evidence, known: dict[str, float]) -> np.ndarray:
+    """The features of some texts; what no text has shown before is looked up at once."""
+    words = [words_of(text) for text in texts]
+    if len(known) > KEPT:
+        known.clear()
+    new = list(dict.fromkeys(word for own in words for word in own if word not in known))
+    known.update(zip(new, evidence.of_words(new).tolist(), strict=True))
+    return np.array([word_features([known[word] for word in own]) for own in words]).reshape(-1, FEATURES)
+
+
 class Model(NamedTuple):
     """Evidence and the regression over its features; ``constant`` where one class is absent."""
 
@@ -224,59 +301,58 @@ def train(
     sizes = {row["toxic"]: row["n"] for row in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         n, toxic = sum(sizes.values()), sizes.get(1, 0)
-        return Model(Evidence({}, {}), np.zeros(FEATURES + 1), toxic / (n + 1))
+        return Model(NO_EVIDENCE, np.zeros(FEATURES + 1), toxic / (n + 1))
     counted = sample.mapInArrow(_count, "half int, toxic int, gram string, n long")
     by_gram = counted.groupBy("gram").agg(*[
         F.sum(F.when((F.col("half") == half) & (F.col("toxic") == label), F.col("n")).otherwise(0)).alias(f"n{half}{label}")
         for half in (0, 1) for label in (0, 1)
     ])
-    rows = by_gram.toArrow()  # bounded by the sample
-    names = rows.column("gram").to_pylist()
-    counts = {key: rows.column(f"n{key}").to_pylist() for key in ("00", "01", "10", "11")}
+    rows = by_gram.toArrow().combine_chunks()  # bounded by the sample
+    every = read_grams(rows.column("gram").combine_chunks()) if rows.num_rows else read_grams(pa.array([], pa.string()))
+    counts = {key: rows.column(f"n{key}").to_numpy() for key in ("00", "01", "10", "11")}
+    del rows
 
     def evidence(halves: tuple[int, ...]) -> Evidence:
-        classes = []
-        for label in (0, 1):
-            summed = np.sum([counts[f"{half}{label}"] for half in halves], axis=0)
-            classes.append({name: n for name, n in zip(names, summed.tolist(), strict=True) if n})
-        return fit_evidence((classes[0], classes[1]))
+        classes = [np.sum([counts[f"{half}{label}"] for half in halves], axis=0) for label in (0, 1)]
+        return fit_evidence(every, (classes[0], classes[1]))
 
-    both = spark.sparkContext.broadcast((evidence((1,)), evidence((0,))))
+    # Plain tuples of arrays, which a worker without this library can read.
+    both = spark.sparkContext.broadcast((tuple(evidence((1,))), tuple(evidence((0,)))))
 
     def unseen_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: tuple[dict, dict] = ({}, {})
+        models = [Evidence(*arrays) for arrays in both.value]
         for batch in batches:
-            out = []
-            for text, label, half in zip(*[column.to_pylist() for column in batch.columns], strict=True):
-                found = features(words_of((text or "").encode()), both.value[half], known[half])
-                out.append((label, *found))
-            columns = zip(*out, strict=True) if out else [[]] * 4
-            kinds = [pa.int32(), *[pa.float64()] * 3]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(v), kind) for v, kind in zip(columns, kinds, strict=True)],
-                names=["toxic", "whole", "stretch", "word"],
-            )
+            half = batch.column(2).to_numpy(zero_copy_only=False)
+            for own in (0, 1):
+                some = batch.filter(pa.array(half == own))
+                texts = some.column(0).cast(pa.binary()).to_pylist()
+                found = features([text or b"" for text in texts], models[own], known[own])
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(1), *[pa.array(column, pa.float64()) for column in found.T]],
+                    names=["toxic", "whole", "stretch", "word"],
+                )
 
     told = sample.mapInArrow(unseen_features, "toxic int, whole double, stretch double, word double").toArrow()
     found = np.column_stack([told.column(name).to_numpy() for name in ("whole", "stretch", "word")])
     order = np.lexsort(found.T)  # the same fit whatever order the rows come in
     weights = fit_regression(found[order], told.column("toxic").to_numpy()[order])
-    both.unpersist()
+    both.destroy()
     return Model(evidence((0, 1)), weights, None)
 
 
 class Scorer:
-    """A model as the tasks get it."""
+    """A model as the tasks get it: plain arrays, under a name that no other model has."""
 
     def __init__(self, spark, model: Model) -> None:
-        self.model = spark.sparkContext.broadcast(model)
-        self.name = f"toxicity_{spark.sparkContext.applicationId}_{id(self.model)}_{len(model.evidence.seen)}"
+        self.model = spark.sparkContext.broadcast((tuple(model.evidence), model.weights, model.constant))
+        self.name = f"toxicity_{uuid.uuid4().hex}"
 
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
-        model: Model = self.model.value
+        arrays, weights, constant = self.model.value
+        model = Model(Evidence(*arrays), weights, constant)
         known = worker_state(self.name, dict)
-        found = [features(words_of(text or b""), model.evidence, known) for text in texts]
-        return model.score(np.array(found).reshape(-1, FEATURES))
+        return model.score(features([text or b"" for text in texts], model.evidence, known))
 
 
 def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -304,7 +380,11 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The documents, with all their columns, that score below the threshold."""
+    """The documents, with all their columns, that score below the threshold.
+
+    Absent and empty texts are judged as by ``score_documents``; repeated rows are judged alike, so
+    all of them stay or go; columns of any name are kept; an empty table gives no rows.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     scorer = Scorer(spark, model)
