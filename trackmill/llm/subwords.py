@@ -12,6 +12,8 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable
+from itertools import chain, compress, repeat
+from operator import is_
 
 import numpy as np
 
@@ -20,6 +22,8 @@ from trackmill.llm.common import worker_state
 VOCABULARY = "byte_bpe_50k.json"
 # Words that a worker keeps; with more it starts anew.
 KEPT = 1_200_000
+# New words that are encoded as one text; the library takes longer over long ones.
+TOGETHER = 200
 # White space that is followed by other white space or ends the text.
 ODD_BLANK = re.compile(r"\s(?:\s|\Z)")
 MARKS = ".,"
@@ -61,12 +65,13 @@ class Subwords:
             self.known[word] = self.known[word[:-1]] + self.marks[word[-1]]
 
     def _encode_new(self, words: list[str]) -> None:
-        """Encode words as one text, each behind its blank or line end, and cut its ids where
-        a word's bytes end."""
+        """Encode words as texts of ``TOGETHER`` words, each behind its blank or line end, and cut
+        their ids where a word's bytes end."""
         for start in range(0, len(words), 20_000):
             some = words[start:start + 20_000]
-            text = "".join([word if word[0] == "\n" else " " + word for word in some])
-            ids = np.array(self._library([text])[0].ids, "<u4")
+            spelt = [word if word[0] == "\n" else " " + word for word in some]
+            texts = ["".join(spelt[at:at + TOGETHER]) for at in range(0, len(spelt), TOGETHER)]
+            ids = np.array(list(chain.from_iterable(text.ids for text in self._library(texts))), "<u4")
             ends = np.cumsum([len(word.encode()) + (word[0] != "\n") for word in some])
             cuts = np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1
             raw, last = ids.tobytes(), 0
@@ -91,22 +96,22 @@ class Subwords:
             first, *words = text.replace("\n", " \n").split(" ")
             found = list(map(get, words))
             if None in found:
-                new.update(dict.fromkeys([word for word, ids in zip(words, found, strict=True) if ids is None]))
+                new.update(dict.fromkeys(compress(words, map(is_, found, repeat(None)))))
             split.append((first, words, found))
         if new:
             self._learn(list(new))
-        out: list[bytes] = []
+        known, out = self.known, []
         for text, parts in zip(texts, split, strict=True):
             if parts is None:
                 out.append(self._whole(text))
                 continue
             first, words, found = parts
-            if None in found:
-                found = [get(word) if ids is None else ids for word, ids in zip(words, found, strict=True)]
-                if None in found:  # forgotten to make room
-                    out.append(self._whole(text))
-                    continue
-            out.append(self._first(first) + b"".join(found))
+            try:
+                ids = b"".join(map(known.__getitem__, words) if None in found else found)
+            except KeyError:  # forgotten to make room
+                out.append(self._whole(text))
+                continue
+            out.append(self._first(first) + ids)
         return out
 
     def _first(self, word: str) -> bytes:
