@@ -65,7 +65,8 @@ def test_hints():
 def test_paths_with_text_and_marks_score_higher():
     nodes, _ = nodes_of(page(f"<div><p>{LONG}</p><p>{LONG}</p></div><ul><li>one<li>two<li>three</ul>"))
     scores = path_scores(nodes)
-    assert scores["html>body>div>p"] > 3 * scores["html>body>ul>li"]
+    told = {node.text.strip(): scores[node.path] for node in nodes}
+    assert told[LONG] > 3 * told["one"] and told["one"] == told["three"]
 
 
 def test_table(spark):
@@ -75,3 +76,71 @@ def test_table(spark):
     found = sorted(((r["id"], r["url"], r["n_chars"]) for r in extract_main_text(pages).collect()), key=str)
     assert found == sorted([(1, "u", len(LONG)), (1, "u", len(LONG)), (2, None, 0), (None, "v", 0), (3, "w", 5000 * 6 - 1)], key=str)
     assert extract_main_text(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<p title=it's>One", "One"), ('<a href="x>bad', ""), ('<p>Go on, <a href="x>bad', "Go on, bad"),
+    ('<article><p>Long text, here it is, with marks.<div class="share-price"><p>The share price rose, again.</div></article>',
+     "Long text, here it is, with marks.\nThe share price rose, again."),
+    ('<article><p>Long text, here it is, with marks.<div class="share"><p>The share price rose, again.</div></article>',
+     "Long text, here it is, with marks."),
+    ('<article><p>Long text, here it is, with marks.<div class="share-price"><p><a>More on it</a> <a>And more</a></div></article>',
+     "Long text, here it is, with marks."),
+    ("<article><p>Same text, here.</p></article><article><p>Same text, here.</p></article>", "Same text, here.\nSame text, here."),
+    ('<article><p>Long text, here it is, with marks.<div class="user-comments"><p>I do not think so, no.</div></article>',
+     "Long text, here it is, with marks."),
+    ("<script>if (a<b && c>'x) {</script><article><p>Hi, there.", "Hi, there."),
+    ("<article><p>Hi, <b title='a>b'>you</b><!-- > ' -- > --> there.<? x ><!y>", "Hi, you there."),
+])
+def test_markup_and_names(html, text):
+    assert main_text(html) == text
+
+
+@pytest.mark.parametrize("html", [
+    "<div>" * 100_000 + "text, here." + "</x>" * 100_000, "<p a='>" * 50_000 + "x", '<p a=">' * 50_001, "<li><b>" * 50_000 + "x",
+    "<a b=' c=\" >" * 30_000, "<" * 200_000, "<!--" * 50_000, "<script>" * 50_000,
+])
+def test_time_grows_with_the_page_alone(html):
+    import time
+
+    began = time.process_time()
+    main_text(html)
+    assert time.process_time() - began < 20
+
+
+def grown(choose, depth, lines, inline):
+    """A random tree within an article as HTML; its blocks of text go to ``lines``."""
+    out = []
+    for _ in range(choose.randint(1, 4)):
+        kind = choose.choice(["text", "inline", "block", "drop", "break"])
+        if kind == "text":
+            word = choose.choice(["One, two.", "three &amp; four", "fünf;", "a &lt; b"])
+            out.append(f" {word} ")
+            inline.append({"three &amp; four": "three & four", "a &lt; b": "a < b"}.get(word, word))
+        elif kind == "inline" and depth:
+            out.append(choose.choice(["<b>{}</b>", "<i class='x'>{}</i>", '<span title="a > b">{}</span>']).format(" so, "))
+            inline.append("so,")
+        elif kind == "block" and depth:
+            lines.append(inline[:])
+            inline.clear()
+            out.append(f"<div data-x=it's>{grown(choose, depth - 1, lines, inline)}</div>")
+            lines.append(inline[:])
+            inline.clear()
+        elif kind == "drop":
+            lines.append(inline[:])
+            inline.clear()
+            out.append(choose.choice(["<nav>Menu, here.</nav>", "<aside><p>Aside, too.</aside>", "<form>Name, please.</form>"]))
+        elif kind == "break":
+            out.append(choose.choice(["<br>", " \n\t ", "<!-- no, -->", "<script>var x = '<p>';</script>"]))
+    return "".join(out)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_random_articles_against_their_trees(seed):
+    import random
+
+    choose, lines, inline = random.Random(seed), [], []
+    body = grown(choose, 4, lines, inline)
+    lines.append(inline)
+    expected = "\n".join([LONG, *[" ".join(line) for line in lines if line]])
+    assert main_text(f"<html><body><nav>Home</nav><article><p>{LONG}</p>{body}</article><footer>End, of it.</footer>") == expected
