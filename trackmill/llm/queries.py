@@ -205,7 +205,8 @@ FROM ruled r LEFT JOIN trust t ON r.host = t.host LEFT JOIN distrust d ON r.host
 
 @llm_query("op10_url_filter", URL_FILTER_SQL)
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = url_filter.judge_urls(table(spark, sf_dir, "pages"))
+    # The fixed threshold, which the SQL names too.
+    judged = url_filter.judge_urls(table(spark, sf_dir, "pages"), least_distrust=url_filter.LEAST_DISTRUST)
     return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 

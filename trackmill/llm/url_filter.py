@@ -4,8 +4,13 @@ Rules decide the pages they fit.  For all other pages the host decides: trust st
 whose pages the rules allow and follows the links between hosts; distrust starts at hosts
 whose pages they block and runs against the links, to those that point there.  Both are
 personalised PageRank over host edges, kept as DataFrames: one join with the edges and one
-sum per step, both combining map-side.  A host is blocked when its distrust reaches
-``LEAST_DISTRUST`` of what a wholly blocked host starts with, and exceeds its trust.
+sum per step, both combining map-side.
+
+A rank is divided among all that a host passes it to, so the figure itself says little of a
+host whose neighbours have many others.  What links bring a host is therefore set against
+what they would bring it if every host were a seed.  A host is blocked when that share of its
+distrust, or the share of its own pages that the rules block, reaches ``LEAST_SHARE`` and
+exceeds the same of its trust.  A fixed threshold on the rank itself can be named instead.
 """
 
 from __future__ import annotations
@@ -22,6 +27,8 @@ from trackmill.session import durable
 FOLLOWED = 0.85
 STEPS = 20
 CHECKPOINT_EVERY = 5
+LEAST_SHARE = 0.5
+# For a fixed threshold, in parts of what a wholly blocked host starts with.
 LEAST_DISTRUST = 0.5
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -96,13 +103,29 @@ def propagate(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, followed:
     return ranks
 
 
+def received_share(
+    edges: DataFrame, seeds: DataFrame, ranks: DataFrame, steps: int = STEPS, followed: float = FOLLOWED
+) -> DataFrame:
+    """``host``, ``share``: of what links would bring a host if every host were a seed, the part
+    that the ``seeds`` bring it by their ``ranks``; or the host's own start if that is more.
+    Hosts that neither links nor seeds reach are left out."""
+    every = edges.select(F.col("src").alias("host")).union(edges.select("dst")).distinct()
+    whole = propagate(edges, every.withColumn("start", F.lit(1.0)), steps, followed).withColumnRenamed("rank", "whole")
+    own = seeds.select("host", F.col("start").alias("own"))
+    found = ranks.select("host", "rank").join(own, "host", "left").join(whole, "host", "left")
+    start = F.coalesce("own", F.lit(0.0))
+    brought, most = F.col("rank") - start * (1 - followed), F.col("whole") - (1 - followed)
+    return found.select("host", F.greatest(start, F.when(most > 0, brought / most).otherwise(0.0)).alias("share"))
+
+
 def judge_urls(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
     rules: Sequence[Rule] = RULES, steps: int = STEPS, followed: float = FOLLOWED,
-    least_distrust: float = LEAST_DISTRUST,
+    least_share: float = LEAST_SHARE, least_distrust: float | None = None,
 ) -> DataFrame:
     """One row per input row: ``id``, ``host``, ``path``, ``rule``, ``verdict``, and the host's
-    ``trust`` and ``distrust``.
+    ``trust`` and ``distrust``: shares between 0 and 1 (``received_share``), or ranks if
+    ``least_distrust`` names a fixed threshold for them.
 
     Absent URLs and URLs without ``://`` have an empty host and path, fit no rule and are
     allowed; absent pages have no links; repeated pages count as pages of their host again.
@@ -124,13 +147,19 @@ def judge_urls(
     def seeds(column: str) -> DataFrame:
         return counts.where(F.col(column) > 0).select("host", (F.col(column) / F.col("n")).alias("start"))
 
-    trust = propagate(edges, seeds("allowed"), steps, followed).withColumnRenamed("rank", "trust")
-    distrust = propagate(against, seeds("blocked"), steps, followed).withColumnRenamed("rank", "distrust")
+    def told(along: DataFrame, column: str, name: str) -> DataFrame:
+        ranks = propagate(along, seeds(column), steps, followed)
+        if least_distrust is not None:
+            return ranks.withColumnRenamed("rank", name)
+        return received_share(along, seeds(column), ranks, steps, followed).withColumnRenamed("share", name)
+
+    trust, distrust = told(edges, "allowed", "trust"), told(against, "blocked", "distrust")
     # Written, so that the join with it can be split where one host has very many pages.
     hosts = durable(counts.select("host").join(trust, "host", "left").join(distrust, "host", "left").select(
         "host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")
     ))
-    bad = (F.col("distrust") >= least_distrust * (1 - followed)) & (F.col("distrust") > F.col("trust"))
+    least = least_share if least_distrust is None else least_distrust * (1 - followed)
+    bad = (F.col("distrust") >= least) & (F.col("distrust") > F.col("trust"))
     judged = ruled.select("id", "host", "path", "fit").join(hosts, "host", "left")
     return judged.select(
         "id", "host", "path", F.col("fit.rule").alias("rule"),
