@@ -44,6 +44,16 @@ def test_many_copies_over_many_runs(spark):
     assert len(found) == 501
 
 
+@pytest.mark.parametrize("most_nodes", [1, 4, 5])
+def test_runs_share_bounded_nodes(spark, most_nodes):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'Hot', concat('t', id % 500)) AS text")
+    rows = [(row["doc_id"], row["text"]) for row in docs.collect()]
+    found = exact_groups(docs.repartition(23), fan=3, most_nodes=most_nodes)
+    told = sorted(((r["id"], r["keep_id"], r["group_size"], r["sha256"]) for r in found.collect()), key=str)
+    assert told == sorted(expected(rows, "largest"), key=str)
+    assert found.where("kept").count() == 501
+
+
 def test_empty_table(no_docs):
     assert exact_groups(no_docs).count() == 0
 

@@ -7,7 +7,8 @@ that differ in digit ``k`` alone exchange entries, each keeping those whose dige
 own digit there, and merges what it got into one sorted run again.  After the last round a
 node holds all entries of its digests.  A text that a third of all rows share is one entry
 per run from the first level on, so no key is hot, and no node ever holds more than its
-share of the different texts.
+share of the different texts.  The nodes are bounded, since a shuffle has as many blocks as
+the square of them: with more runs than nodes several runs share one from the start.
 
 Entries are verified as they merge: equal SHA-256 digests must come with equal lengths and
 equal second digests (BLAKE2b), otherwise the texts count as different; and every incoming
@@ -30,6 +31,8 @@ from trackmill.session import durable
 # Most runs that meet in one round, and the rows of a task that make one sorted run.
 FAN = 16
 RUN_ROWS = 500_000
+# Nodes up to the next power of the fan; beyond as many runs, several begin at one node.
+MOST_NODES = 4096
 
 DIGESTED = "id long, run int, row long, digest binary, length long, check binary"
 ENTRY = (
@@ -180,7 +183,8 @@ def tree_merge(runs: DataFrame, rounds: int, fan: int = FAN) -> DataFrame:
 
 
 def exact_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", fan: int = FAN
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", fan: int = FAN,
+    most_nodes: int = MOST_NODES,
 ) -> DataFrame:
     """One row per input row: ``id``, ``keep_id``, ``group_size``, ``kept``, ``sha256``.
 
@@ -192,9 +196,9 @@ def exact_groups(
     if keep not in ("smallest", "largest"):
         raise ValueError("keep is smallest or largest")
     rows = digest_rows(docs, id_col, text_col)
-    parts = rows.rdd.getNumPartitions()
-    rounds = rounds_for(parts, fan)
-    fan = narrowest(parts, rounds)
+    meeting = min(rows.rdd.getNumPartitions(), most_nodes)
+    rounds = rounds_for(meeting, fan)
+    fan = narrowest(meeting, rounds)
     runs = durable(rows.mapInArrow(_first_runs(fan ** rounds), ENTRY))
     winner = ("least", "least_row") if keep == "smallest" else ("most", "most_row")
     groups = tree_merge(runs, rounds, fan).select(
