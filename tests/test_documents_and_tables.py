@@ -230,3 +230,15 @@ def test_streams(spark, tmp_path):
     spark.streams.removeListener(late)
     assert store.current().count() == 1000
     assert set(late.by_query.values()) <= {0}
+
+
+def test_judging_documents_leaves_methods_short_enough_to_compile(spark):
+    """The JVM compiles no method of more than 8000 bytes."""
+    docs = documents(spark, issue()).repartition(2)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (landing.issue_quarantine(docs), landing.rehydrate(docs), landing.flatten_issues(docs)):
+            stages = df.select("*")._jdf.queryExecution().debug().codegenToSeq()
+            assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

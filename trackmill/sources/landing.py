@@ -113,37 +113,44 @@ def search_users(users: DataFrame, term: str,
     return users.where(any_column_contains([F.col(name) for name in columns], term))
 
 
-def _required(struct: StructType, prefix: str, present: Column | None = None) -> list[tuple[str, Column]]:
-    """Path and absence test of every required member; members of an optional struct
-    are required only where the struct is there."""
+def _absent(struct: StructType, at: Column, prefix: str = "") -> Column:
+    """Path of the first required member that is null; members of an optional struct are
+    required only where the struct is there."""
     found = []
     for field in struct.fields:
-        path = f"{prefix}.{field.name}"
-        absent = F.col(path).isNull()
+        path, member = f"{prefix}{field.name}", at[field.name]
         if not field.nullable:
-            found.append((path, absent if present is None else present & absent))
+            found.append(F.when(member.isNull(), path))
         if isinstance(field.dataType, StructType):
-            here = F.col(path).isNotNull()
-            found += _required(field.dataType, path, here if present is None else present & here)
-    return found
+            found.append(F.when(member.isNotNull(), _absent(field.dataType, member, f"{path}.")))
+    return F.coalesce(*found, F.lit(None).cast("string"))
 
 
-def _parsed(documents: DataFrame) -> DataFrame:
-    with_corrupt = StructType([*ISSUE_DOCUMENT.fields, StructField(_CORRUPT, StringType())])
-    doc = F.from_json("raw_json", with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT})
-    parsed = computed_once(documents.select("raw_json"), _doc=doc)
-    for name in ("created", "updated"):
-        parsed = parsed.withColumn(f"_{name}", parse_instant(F.col(f"_doc.fields.{name}")))
-    absent = [F.when(test, path.removeprefix("_doc.")) for path, test in _required(ISSUE_DOCUMENT, "_doc")]
+def _timed(doc: Column) -> Column:
+    times = [parse_instant(doc["fields"][name]).alias(f"_{name}") for name in ("created", "updated")]
+    return F.struct(doc.alias("_doc"), *times)
+
+
+def _judged(at: Column) -> Column:
+    """A parsed document with its times and why it cannot be used; null when it can."""
+    doc = at["_doc"]
     malformed = [
-        F.when(F.col(f"_doc.fields.{name}").isNotNull() & F.col(f"_{name}").isNull(), f"fields.{name}")
+        F.when(doc["fields"][name].isNotNull() & at[f"_{name}"].isNull(), f"fields.{name}")
         for name in ("created", "updated")
     ]
     reason = (
-        F.when(F.col(f"_doc.{_CORRUPT}").isNotNull() | F.col("_doc").isNull(), "malformed document")
-        .otherwise(F.concat(F.lit("missing or malformed "), F.coalesce(*absent, *malformed)))
+        F.when(doc[_CORRUPT].isNotNull() | doc.isNull(), "malformed document")
+        .otherwise(F.concat(F.lit("missing or malformed "), F.coalesce(_absent(ISSUE_DOCUMENT, doc), *malformed)))
     )
-    return parsed.withColumn("reason", reason)
+    return F.struct(*[at[name].alias(name) for name in ("_doc", "_created", "_updated")], reason.alias("reason"))
+
+
+def _parsed(documents: DataFrame) -> DataFrame:
+    with_corrupt = StructType([*ISSUE_DOCUMENT.fields, StructField(_CORRUPT, StringType())])
+    doc = F.from_json("raw_json", with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT})
+    # Once per row, as in computed_once.  The tests are so many that a method generated for them is too
+    # long for the JVM to compile and crawls; functions of arrays are no part of such a method.
+    return documents.select("raw_json", F.inline(F.transform(F.transform(F.array(doc), _timed), _judged)))
 
 
 def rehydrate(documents: DataFrame) -> DataFrame:
