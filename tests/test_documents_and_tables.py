@@ -242,3 +242,11 @@ def test_judging_documents_leaves_methods_short_enough_to_compile(spark):
             assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_doubtful_logs_are_found_without_a_search_for_escapes_in_each(spark):
+    logs = ['{"histories": [{"id" : 7}]}', '{"histories": [{"\\u0069d": 7}]}', '{"histories": [{"id": "\\u0069d"}]}', '{"histories": [{"x": 7}]}']
+    rows = spark.createDataFrame([(str(i), "K", log) for i, log in enumerate(logs)], "issue_id string, issue_key string, changelog string")
+    bad = changelog_quarantine(rows)
+    assert [r.violation for r in bad.orderBy("issue_id").collect()] == ["no-change-id", "no-change-id", "no-time", "no-change-id"]
+    assert "Contains(changelog" in bad._jdf.queryExecution().optimizedPlan().toString()

@@ -18,12 +18,14 @@ _TYPED = f"""
         items array<struct<{', '.join(f'`{name}` string' for name in _ITEM)}>>>>,
     {_CORRUPT} string
 """
-# A text member with a value that is neither text nor null, or a member name that is
-# spelt with an escape: the typed parse would take the first for text.
-_DOUBTFUL = (
-    r'"(?:id|created|accountId|displayName|emailAddress|field|fieldId|from|to|fromString|toString)"\s*:\s*[^"n\s]'
-    r'|"[^"]*\\u[^"]*"\s*:'
+# A text member with a value that is neither text nor null: the typed parse would take it for text.
+# Few quotes are followed by such a value, so the name before the quote is looked at last.
+_NOT_TEXT = (
+    r'"(?=\s*+:\s*+[^"n\s])'
+    r'(?<="(?:id|created|accountId|displayName|emailAddress|field|fieldId|from|to|fromString|toString)")'
 )
+# A member name that is spelt with an escape.
+_ESCAPE, _ESCAPED = r"\u", r'"[^"]*\\u[^"]*"\s*:'
 # Such logs are read with members as VARIANT, so that text can be told from other types,
 # and entry by entry, so that a malformed one spoils no other.
 _HISTORIES = "histories array<string>"
@@ -91,11 +93,14 @@ def _violation(entry: Column, time: Column) -> Column:
     )
 
 
-def _judge(entry: Column) -> Column:
-    time = parse_instant(entry["created"])
-    return F.struct(
-        entry.alias("entry"), time.alias("change_timestamp"), _violation(entry, time).alias("violation")
+def _judged(entries: Column) -> Column:
+    timed = F.transform(
+        entries, lambda entry: F.struct(entry.alias("entry"), parse_instant(entry["created"]).alias("change_timestamp"))
     )
+    return F.transform(timed, lambda at: F.struct(
+        at["entry"].alias("entry"), at["change_timestamp"].alias("change_timestamp"),
+        _violation(at["entry"], at["change_timestamp"]).alias("violation"),
+    ))
 
 
 def _logs(issues: DataFrame, changelog: str) -> DataFrame:
@@ -103,10 +108,11 @@ def _logs(issues: DataFrame, changelog: str) -> DataFrame:
     log = F.col(changelog)
     typed = F.from_json(log, _TYPED, {"columnNameOfCorruptRecord": _CORRUPT})
     logs = computed_once(issues.select("issue_id", "issue_key", changelog), _doc=typed)
-    doubtful = F.col("_doc").isNull() | F.col(f"_doc.{_CORRUPT}").isNotNull() | log.rlike(_DOUBTFUL)
+    escaped = log.contains(_ESCAPE) & log.rlike(_ESCAPED)
+    doubtful = F.col("_doc").isNull() | F.col(f"_doc.{_CORRUPT}").isNotNull() | escaped | log.rlike(_NOT_TEXT)
     entries = F.when(doubtful, _loose(log)).otherwise(F.transform(F.col("_doc.histories"), _typed_entry))
     read = computed_once(logs, _entries=entries)
-    return computed_once(read, _judged=F.transform("_entries", _judge)).select("issue_id", "issue_key", "_judged")
+    return computed_once(read, _judged=_judged(F.col("_entries"))).select("issue_id", "issue_key", "_judged")
 
 
 def _entries(logs: DataFrame) -> DataFrame:
