@@ -250,3 +250,12 @@ def test_doubtful_logs_are_found_without_a_search_for_escapes_in_each(spark):
     bad = changelog_quarantine(rows)
     assert [r.violation for r in bad.orderBy("issue_id").collect()] == ["no-change-id", "no-change-id", "no-time", "no-change-id"]
     assert "Contains(changelog" in bad._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scanned_pages_are_landed_compressed(spark, tmp_path, monkeypatch):
+    from trackmill.plans import landing_queries
+
+    monkeypatch.setattr(landing_queries, "issue_documents", lambda *_: documents(spark, issue()))
+    monkeypatch.setattr(landing_queries, "scratch_path", lambda *_: str(tmp_path / "pages"))
+    assert landing_queries.scan_pages(spark, "").count() == 1
+    assert {p.suffix for p in (tmp_path / "pages").glob("part-*")} == {".gz"}

@@ -49,7 +49,7 @@ def _zoneless(df, *names):
 @query("q_scan_pages", VALID_SQL)
 def scan_pages(spark, sf_dir):
     path = scratch_path(spark, "pages")
-    result_pages(issue_documents(spark, sf_dir), 100).write.text(path)
+    result_pages(issue_documents(spark, sf_dir), 100).write.option("compression", "gzip").text(path)
     scanned = landing.page_issues(landing.read_pages(spark, path))
     return _zoneless(landing.flatten_issues(scanned).select(*FLAT), *TIMES)
 
@@ -203,11 +203,11 @@ def s12_quarantine(spark, sf_dir):
 SELECT 'read' AS kind, COUNT(*) AS n FROM issues WHERE id IN (SELECT change_of FROM last_change)
 UNION ALL SELECT 'broken', COUNT(*) + 1 FROM issues WHERE id NOT IN (SELECT change_of FROM last_change)""")
 def s2_array(spark, sf_dir):
-    """Issues landed as arrays, one array per file, beside a file that was cut off."""
+    """Issues landed as arrays, one array per line, beside a file that was cut off."""
     path = scratch_path(spark, "arrays")
     pages = result_pages(issue_documents(spark, sf_dir), 200)
     arrays = pages.select(F.get_json_object("value", "$.issues").alias("value"))
-    arrays.repartition(8).write.option("lineSep", "\n").text(path)
+    arrays.write.option("lineSep", "\n").text(path)
     spark.createDataFrame([('[{"id": "1", "fie',)], "value string").coalesce(1).write.mode("append").text(path)
     found = landing.read_issue_documents(spark, path, "array_lines")
     return landing.rehydrate(found).agg(F.lit("read").alias("kind"), F.count("*").alias("n")).unionByName(
