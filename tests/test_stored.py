@@ -210,6 +210,15 @@ def test_index_finds_what_the_plain_search_finds(spark, tmp_path):
     assert {row["id"] for row in index.candidates("äöü").collect()} == {1, 2}
 
 
+def test_index_is_built_in_one_pass_over_the_texts(spark, tmp_path, monkeypatch):
+    issues = spark.createDataFrame([(1, "a😀bc"), (2, None), (3, "ab")], "id long, description string")
+    assert [r[0] for r in issues.orderBy("id").select(text_index.grams(F.col("description"))).collect()] == [["a😀b", "😀bc"], None, []]
+    plans, save = [], text_index.save_table
+    monkeypatch.setattr(text_index, "save_table", lambda df, *a: (plans.append(df._jdf.queryExecution().toString()), save(df, *a)))
+    text_index.build_index(issues, "description", str(tmp_path / "index"))
+    assert "rangepartitioning" not in plans[0]
+
+
 # --- stored order ----------------------------------------------------------------
 
 

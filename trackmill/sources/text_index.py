@@ -18,16 +18,17 @@ FOLDERS = 64
 FOLDER = "gram_folder"
 # Trigrams of a term that are looked up, the rarest first.
 LOOKED_UP = 4
+# Tasks that write one folder, at most.
+DEALT = 16
+# A trigram, read ahead of its first code point.
+GRAM = r"(?s)(?![\x{DC00}-\x{DFFF}])(?=(...))"
+# --- end of fixed values ---
 
 
 def grams(text: Column) -> Column:
     """The different trigrams of a text in lower case, by code points."""
-    points = F.split(F.lower(text), "")
-    # The points beside themselves, moved by one and by two: a function of each place that looked into
-    # the whole array would have Spark work out the array anew for every place.
-    moved = [F.slice(points, start, F.greatest(F.size(points), F.lit(1))) for start in (1, 2, 3)]
-    joined = F.transform(F.arrays_zip(*moved), lambda at: F.concat(at["0"], at["1"], at["2"]))
-    return F.array_compact(F.array_distinct(joined))
+    # One search that looks at every place but takes nothing; a place amid a surrogate pair is none.
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(GRAM), F.lit(1)))
 
 
 def folder(gram: Column) -> Column:
@@ -38,8 +39,9 @@ def build_index(issues: DataFrame, column: str, path: str, key: str = "id") -> T
     """Write the index of a text column; absent texts and keys have no postings."""
     texts = issues.where(F.col(column).isNotNull() & F.col(key).isNotNull())
     postings = texts.select(key, F.explode(grams(F.col(column))).alias("gram")).withColumn(FOLDER, folder(F.col("gram")))
-    # A trigram that nearly all texts hold is cut by the key.
-    dealt = postings.repartitionByRange(FOLDER, "gram", key).sortWithinPartitions(FOLDER, "gram", key)
+    # A folder is dealt to several tasks by the key, and so is a trigram that nearly all texts hold.  Not by
+    # ranges: their bounds cost another pass over all texts.
+    dealt = postings.repartition(FOLDER, F.pmod(F.xxhash64(key), F.lit(DEALT))).sortWithinPartitions(FOLDER, "gram", key)
     save_table(dealt, f"{path}/postings", [FOLDER])
     spark = issues.sparkSession
     counts = spark.read.parquet(f"{path}/postings").groupBy("gram", FOLDER).agg(F.count("*").alias("texts"))
