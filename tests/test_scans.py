@@ -1,5 +1,6 @@
 """Whole-table scans: chunks by a sweep, gaps of timelines, arrays split over tasks."""
 
+import bz2
 import json
 import random
 from datetime import datetime, timedelta
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from trackmill.operators.grouping import timeline_gaps
 from trackmill.operators.joins import sweep_chunks
 from trackmill.operators.scans import with_previous
+from trackmill.plans import landing_queries
 from trackmill.sources import arrays
 
 T = datetime(2024, 1, 1)
@@ -125,3 +127,49 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path):
     assert arrays.read_arrays(spark, path, 1000).count() == 60
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
     assert arrays.read_arrays(spark, str(tmp_path / "absent")).count() == 0
+
+
+def pretty(records, indent="  ", end="\n"):
+    texts = [indent + json.dumps(record, indent=2).replace("\n", "\n" + indent) for record in records]
+    return ("[\n" + ",\n".join(texts) + "\n]").replace("\n", end)
+
+
+def test_compressed_arrays_are_read_in_blocks(spark, tmp_path):
+    records = [record | {"noise": random.Random(record["id"]).randbytes(20_000).hex()} for record in RECORDS]
+    (tmp_path / "array.bz2").write_bytes(bz2.compress(pretty(records).encode(), 1))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        assert arrays.read_lines(spark, str(tmp_path)).rdd.getNumPartitions() >= 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(json.loads(text)["id"] for text in read(spark, str(tmp_path), 100_000)) == list(range(60))
+
+
+@pytest.mark.parametrize("block", [64, None])
+def test_parts_of_files_by_their_own_indentation(spark, tmp_path, block):
+    folder = tmp_path / "a folder%20"
+    folder.mkdir()
+    for name, text in {
+        "two": pretty(RECORDS[:5]), "tab": pretty(RECORDS[5:10], "\t"), "lines": pretty(RECORDS[10:15], end="\r\n"),
+        "returns": pretty(RECORDS[15:20], end="\r"), "flat": json.dumps(RECORDS[20:25]), "bare": pretty(RECORDS[25:30])[2:-2],
+    }.items():
+        (folder / name).write_text(text, newline="")
+    (folder / "two cut off").write_text(pretty(RECORDS[30:32])[:-2] + ",\n  {")
+    found = read(spark, str(folder), block)
+    assert [text for text in found if text == "{"] == ["{"]
+    assert sorted(json.loads(text)["id"] for text in found if text != "{") == list(range(32))
+
+
+def test_array_files_are_small_beside_their_text(spark, tmp_path):
+    """Neither one task nor plain text; identifiers may repeat."""
+    folder = tmp_path / "arrays"
+    texts = [json.dumps({"id": str(i), "key": f"A-{i}", "self": f"https://a.example/{i}"}) for i in range(3000)] * 2
+    landing_queries.array_files(spark.createDataFrame([(text,) for text in texts], "raw_json string"), str(folder), 3)
+    files = list(folder.glob("part-*"))
+    assert len(files) == 3 and sum(file.stat().st_size for file in files) * 10 < sum(map(len, texts))
+    found = read(spark, str(folder), 20_000)
+    assert len(found) == 6001 and len([text for text in found if "last, [of all]" in text]) == 1
+    assert sorted(json.loads(text)["id"] for text in found if text.endswith("}") and "last" not in text) == sorted(
+        [str(i) for i in range(3000) if i % 1000 != 7] * 2
+    )

@@ -215,17 +215,23 @@ def s2_array(spark, sf_dir):
     )
 
 
-def array_file(documents, path):
-    """Documents as one pretty-printed array in one file.  Of every thousandth the last bracket is
-    missing."""
+def array_files(documents, path, files):
+    """Documents as pretty-printed arrays, dealt over so many files, each written by a task and
+    compressed so that its blocks can be read apart.  Of every thousandth the last bracket is
+    missing; the first file has one more, of another kind, and the others end in a comma."""
     typed = F.from_json("raw_json", ISSUE_DOCUMENT)
     text = F.regexp_replace(F.to_json(typed, {"pretty": "true"}), "(?m)^", "  ")
     cut = F.get_json_object("raw_json", "$.id").cast("long") % 1000 == 7
-    text = F.when(cut, F.regexp_replace(text, r"\}\s*$", "")).otherwise(text)
-    spark = documents.sparkSession
-    records = documents.select(F.concat(text, F.lit(",")).alias("value"))
-    around = [spark.range(1).select(F.lit(line).alias("value")) for line in ("[", '  {\n    "id" : "last, [of all] \\"{"\n  }\n]')]
-    around[0].union(records).union(around[1]).coalesce(1).write.text(path)
+    text = F.concat(F.when(cut, F.regexp_replace(text, r"\}\s*$", "")).otherwise(text), F.lit(","))
+    numbers = documents.sparkSession.range(files).withColumn("file", F.col("id").cast("int"))
+    last = F.when(F.col("file") == 0, '  {\n    "id" : "last, [of all] \\"{"\n  }\n]').otherwise("]")
+    around = [numbers.select("file", F.lit(0).alias("at"), F.lit("[").alias("raw_json")),
+              numbers.select("file", F.lit(2).alias("at"), last.alias("raw_json"))]
+    file = F.pmod(F.xxhash64("raw_json"), F.lit(files)).cast("int")
+    parts = documents.select(file.alias("file"), F.lit(1).alias("at"), "raw_json").union(around[0]).union(around[1])
+    dealt = parts.repartitionById(files, F.col("file")).sortWithinPartitions("at")
+    lines = dealt.select(F.when(F.col("at") == 1, text).otherwise(F.col("raw_json")).alias("value"))
+    lines.write.option("compression", "bzip2").text(path)
 
 
 @query("q_s2_split", f"""WITH {ISSUES_SQL}, marked AS (
@@ -233,14 +239,14 @@ def array_file(documents, path):
 SELECT id, CASE WHEN cut THEN 'malformed document' WHEN changed THEN 'read' ELSE 'missing or malformed fields.updated' END AS outcome
 FROM marked UNION ALL SELECT 'last, [of all] "{{', 'missing or malformed key'""")
 def s2_split(spark, sf_dir):
-    """One array file read in blocks by many tasks; records cut off spoil no other."""
+    """Array files of some 50,000 records, each read in blocks by many tasks; records cut off spoil no other."""
     path = scratch_path(spark, "array")
-    array_file(issue_documents(spark, sf_dir), path)
-    found = durable(arrays.read_arrays(spark, path, block_bytes=64 << 10))
-    read = landing.rehydrate(found).select(F.col("issue.id").alias("id"), F.lit("read").alias("outcome"))
-    own = F.regexp_extract("raw_json", r'"id" : "((?:[^"\\]|\\.)*)"', 1)
-    broken = landing.issue_quarantine(found).select(F.regexp_replace(own, r'\\"', '"').alias("id"), F.col("reason").alias("outcome"))
-    return read.union(broken)
+    files = table(spark, sf_dir, "orders").count() // 50_000 + 1
+    array_files(issue_documents(spark, sf_dir), path, files)
+    judged = landing.judge(arrays.read_arrays(spark, path, block_bytes=64 << 10))
+    own = F.regexp_replace(F.regexp_extract("raw_json", r'"id" : "((?:[^"\\]|\\.)*)"', 1), r'\\"', '"')
+    id_ = F.when(F.col("reason").isNull(), F.col("issue.id")).otherwise(own)
+    return judged.select(id_.alias("id"), F.coalesce("reason", F.lit("read")).alias("outcome"))
 
 
 @query("q_search_users", """SELECT c_custkey, c_name FROM customer

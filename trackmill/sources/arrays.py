@@ -1,58 +1,89 @@
 """Pretty-printed JSON arrays of any size, read by many tasks.
 
 A JSON string holds no line break, so every line can be read by itself: without its strings, it
-opens and closes so many brackets.  Spark reads a file in blocks; a block's lines are in order, and
+opens and closes so many brackets.  Where a file indents its records, a line that opens a bracket at
+exactly the indentation of the first record begins one whatever the depth says, so the damage of a
+record whose brackets do not close ends there.  Such a file is read in parts that end before these
+lines, and a part knows its records without any other.
+
+A file that does not indent its records is read in blocks of lines.  A block's lines are in order, and
 the depth at which a block starts is the sum over the blocks before it, one row for each block.
 From the depth a line starts at, each of its commas is known to part two records or to lie within
 one, and so the line knows the records its pieces belong to.
 
-A record whose brackets do not close would shift all that follow.  Where a file indents its records,
-a line that opens a bracket at exactly the indentation of the first record begins one whatever the depth
-says, so the damage ends there.
+Files compressed with bzip2 are read in blocks as well.  What is written between the steps is
+compressed.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import chain
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trackmill.session import durable
+from trackmill.session import durable, scratch_path
 
 # The parts of a line of JSON, and what parts and ends its values.
-STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"?'
+STRING = r'"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"?+'
 TOKEN = STRING + r'|[\[\]{},]|[^"\[\]{},]+'
+# A value in brackets with up to seven more levels in it.
+CLOSED = reduce(lambda inner, _: rf'[\[{{](?:[^"\[\]{{}}]++|{STRING}|{inner})*+[\]}}]', range(8), r"(?!)")
 # --- end of fixed values ---
 
 BLOCK = ["_file", "_block"]
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file, the block of it that a task read, and their place in the block."""
-    text = spark.read.text(path)
+def _read(spark: SparkSession, path: str, files: list[str] | None = None, among: bool = True, **options: str) -> DataFrame:
+    text = spark.read.options(**options).text(path)
+    if files:
+        named = F.col("_metadata.file_path").isin(files)
+        text = text.where(named if among else ~named)  # leaves the other files unread
     return text.select(
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"), "value",
     )
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their file, the block of it that a task read, and their place in the block."""
+    return _read(spark, path)
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """Rows written once, compressed; serial numbers among them stay as they are."""
+    path = scratch_path(df.sparkSession, "array-parts")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _opened(line: Column) -> Column:
     """Brackets that a line opens and does not close; those that it closes count against them."""
     bare = F.regexp_replace(line, STRING, "")
     return F.length(F.regexp_replace(bare, r"[^\[{]", "")) - F.length(F.regexp_replace(bare, r"[^\]}]", ""))
 
 
-def _first_record_indents(lines: DataFrame) -> DataFrame:
+def _indents(lines: DataFrame) -> DataFrame:
     """For each file the blanks before its first record, where a line begins with it and is
-    indented: one row per file."""
+    indented, and how many lines begin like that: one row per file."""
     indent = F.regexp_extract("value", r"^([ \t]+)\{", 1)
-    first = F.min_by(indent, F.struct("_block", "_line"))
-    return lines.where(F.col("value").rlike(r"^[ \t]+\{")).groupBy("_file").agg(first.alias("_indent"))
+    places = lines.where(F.col("value").rlike(r"^[ \t]+\{")).groupBy("_file", indent.alias("_indent")).agg(
+        F.min(F.struct("_block", "_line")).alias("_place"), F.count("*").alias("_begin")
+    )
+    return durable(places.groupBy("_file").agg(F.min(F.struct("_place", "_indent", "_begin")).alias("_first")).select(
+        "_file", "_first._indent", "_first._begin"
+    ))
+
+
+def _tokens(text: Column, token: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(token), F.lit(0))
 
 
-def _pieces(line: Column, depth: Column) -> Column:
-    """The pieces of a line between commas at depth 1, without the array's own brackets."""
+def _pieces(tokens: Column, depth: Column) -> Column:
+    """The pieces of a text between commas at depth 1, without the array's own brackets."""
     none = F.array().cast("array<string>")
     start = F.struct(depth.cast("int").alias("depth"), F.lit("").alias("open"), none.alias("done"))
 
@@ -68,60 +99,64 @@ def _pieces(line: Column, depth: Column) -> Column:
             F.when(parts, F.concat(state["done"], F.array(state["open"]))).otherwise(state["done"]).alias("done"),
         )
 
-    tokens = F.regexp_extract_all(line, F.lit(TOKEN), F.lit(0))
     return F.aggregate(tokens, start, step, lambda state: F.concat(state["done"], F.array(state["open"])))
 
 
-def split_arrays(lines: DataFrame) -> DataFrame:
-    """The records of the arrays as ``raw_json`` with their ``file``; ``lines`` as from
-    :func:`read_lines`.  Text that is no part of an array's records is one more record, which then
-    fails to parse."""
-    indents = _first_record_indents(lines)
-    known = lines.join(indents, "_file", "left")
-    begins = F.coalesce(F.col("value").startswith(F.concat("_indent", F.lit("{"))), F.lit(False))
-    marked = durable(known.select(
-        *BLOCK, "_line", "value", _opened(F.col("value")).alias("_opened"), begins.alias("_begins")
+def _indented_records(text: DataFrame, indents: DataFrame, indent: str) -> DataFrame:
+    """The records of files that indent them, from the parts between the lines that begin one."""
+    # Lines may also end in a carriage return, which parts no text yet.
+    split = F.split(F.regexp_replace("value", "\r\n?", "\n"), rf"\n{indent}\{{")
+    split = F.when(F.col("value").contains("\r"), split).otherwise(F.array("value"))
+    begin = F.lit(indent + "{")
+    parts = _written(text.select(*BLOCK, "_line", F.posexplode(split).alias("_at", "_part")).withColumn(
+        "_begins", F.col("_part").startswith(begin)
     ))
-    upto = W.partitionBy(*BLOCK).orderBy("_line").rowsBetween(W.unboundedPreceding, W.currentRow)
-    counted = marked.withColumns({"_restarts": F.sum(F.col("_begins").cast("long")).over(upto)})
-    # Within a block: what lines before it opened since the last restart.
-    since = W.partitionBy(*BLOCK, "_restarts").orderBy("_line").rowsBetween(W.unboundedPreceding, -1)
-    placed = counted.withColumn("_above", F.coalesce(F.sum("_opened").over(since), F.lit(0)))
-    # One row per block: its restarts, and what it opens behind the last of them.
-    ends = marked.groupBy(*BLOCK).agg(F.sum(F.col("_begins").cast("long")).alias("_had"))
-    tails = placed.groupBy(*BLOCK, "_restarts").agg(F.sum("_opened").alias("_tail"))
-    ends = ends.join(tails, [F.col("_had") == F.col("_restarts"), *[ends[c] == tails[c] for c in BLOCK]]).select(
-        *[ends[c] for c in BLOCK], "_had", "_tail"
-    )
-    blocks = W.partitionBy("_file").orderBy("_block")
-    earlier = blocks.rowsBetween(W.unboundedPreceding, -1)
-    seen = ends.withColumn("_run", F.sum((F.col("_had") > 0).cast("long")).over(blocks))
-    run = W.partitionBy("_file", "_run").orderBy("_block").rowsBetween(W.unboundedPreceding, W.currentRow)
-    # A block's end depth: 1 behind a restart, and all that was opened since.
-    seen = seen.withColumn("_depth_after", F.sum("_tail").over(run) + F.when(F.col("_run") > 0, 1).otherwise(0))
-    starts = durable(seen.select(
-        *BLOCK, F.coalesce(F.lag("_depth_after").over(blocks), F.lit(0)).alias("_depth_before"),
-        F.coalesce(F.sum("_had").over(earlier), F.lit(0)).alias("_restarts_before"),
+    place = F.struct("_block", "_line", "_at")
+    heads = parts.groupBy("_file").agg(F.min(F.struct(place.alias("_head"), "_begins")).alias("_first"), F.count("*").alias("_n"))
+    heads = heads.select("_file", "_first._head", "_first._begins", "_n")
+    # Before its first record a file has its array's bracket, unless it begins with the record.
+    # One row per file; without the hint all parts are dealt by file before that is known.
+    found = parts.join(F.broadcast(heads.select("_file", "_head")), "_file").select("_file", "_part", "_begins", (place != F.col("_head")).alias("_cut"))
+    texts = found.select(
+        "_file", F.when(F.col("_cut"), F.concat(begin, "_part")).otherwise(F.col("_part")).alias("_text"),
+        (F.col("_cut") | F.col("_begins")).alias("_begun"),
+    ).withColumn("_closed", _tokens(F.col("_text"), f"{CLOSED}|{TOKEN}"))
+    # From depth 1 on, a value in brackets is one token where no bracket is left that closes more.
+    plain = F.col("_begun") & ~F.arrays_overlap("_closed", F.array(F.lit("]"), F.lit("}")))
+    tokens = F.when(plain, F.col("_closed")).otherwise(_tokens(F.col("_text"), TOKEN))
+    pieces = texts.select("_file", F.explode(_pieces(tokens, F.col("_begun").cast("int"))).alias("_piece"))
+    # A file that ends where a record begins has no part behind that.
+    begun = F.col("_n") - 1 + F.col("_begins").cast("int")
+    ended = heads.join(indents, "_file").where(F.col("_begin") > begun).select("_file", begin.alias("_piece"))
+    whole = F.filter(F.split("_piece", "\n"), lambda line: F.trim(line) != "")
+    records = pieces.unionAll(ended).select(F.col("_file").alias("file"), F.trim(F.array_join(whole, "\n")).alias("raw_json"))
+    return records.where(F.col("raw_json") != "")
+
+
+def split_arrays(lines: DataFrame) -> DataFrame:
+    """The records of the arrays as ``raw_json`` with their ``file``, by depth alone; ``lines`` as
+    from :func:`read_lines`.  Text that is no part of an array's records is one more record, which
+    then fails to parse."""
+    marked = _written(lines.select(*BLOCK, "_line", "value", _opened(F.col("value")).alias("_opened")))
+    above = W.partitionBy(*BLOCK).orderBy("_line").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    starts = marked.groupBy(*BLOCK).agg(F.sum("_opened").alias("_sum"))
+    starts = starts.select(*BLOCK, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_depth_before"))
+    placed = marked.withColumn("_above", F.coalesce(F.sum("_opened").over(above), F.lit(0)))
+    cut = _written(placed.join(starts, BLOCK).select(
+        *BLOCK, "_line", _pieces(_tokens(F.col("value"), TOKEN), F.col("_depth_before") + F.col("_above")).alias("_pieces")
     ))
-    depth = F.when(F.col("_restarts") > 0, F.lit(1)).otherwise(F.col("_depth_before")) + F.col("_above")
-    depth = F.when(F.col("_begins"), F.lit(1)).otherwise(depth)
-    cut = placed.join(starts, BLOCK).select(
-        *BLOCK, "_line", (F.col("_restarts") + F.col("_restarts_before")).alias("_restart"),
-        _pieces(F.col("value"), depth).alias("_pieces"),
-    )
-    cut = durable(cut)
-    # A record's number: restarts and commas before it.  Commas are summed like depths.
+    # A record's number: commas before it, summed like depths.
     commas = cut.groupBy(*BLOCK).agg(F.sum(F.size("_pieces") - 1).alias("_commas"))
     commas = commas.select(*BLOCK, F.coalesce(F.sum("_commas").over(earlier), F.lit(0)).alias("_commas_before"))
-    above = W.partitionBy(*BLOCK).orderBy("_line").rowsBetween(W.unboundedPreceding, -1)
     numbered = cut.withColumn("_own", F.coalesce(F.sum(F.size("_pieces") - 1).over(above), F.lit(0))).join(commas, BLOCK)
     pieces = numbered.select(
-        *BLOCK, "_line", "_restart", (F.col("_own") + F.col("_commas_before")).alias("_first"),
+        *BLOCK, "_line", (F.col("_own") + F.col("_commas_before")).alias("_first"),
         F.posexplode("_pieces").alias("_at", "_piece"),
     )
     texts = F.sort_array(F.collect_list(F.struct("_block", "_line", "_at", "_piece")))
     records = pieces.where(F.trim(F.col("_piece")) != "").groupBy(
-        "_file", "_restart", (F.col("_first") + F.col("_at")).alias("_comma")
+        "_file", (F.col("_first") + F.col("_at")).alias("_comma")
     ).agg(F.array_join(F.transform(texts, lambda piece: piece["_piece"]), "\n").alias("raw_json"))
     return records.select(F.col("_file").alias("file"), F.trim("raw_json").alias("raw_json"))
 
@@ -129,8 +164,8 @@ def split_arrays(lines: DataFrame) -> DataFrame:
 def read_arrays(spark: SparkSession, path: str, block_bytes: int | None = None) -> DataFrame:
     """The records of pretty-printed arrays, one array per file, as ``raw_json``.
 
-    Uncompressed files are read in blocks of ``block_bytes``, by default of the session's
-    ``spark.sql.files.maxPartitionBytes``, each by a task.  A missing path gives no rows.
+    Files that are uncompressed or compressed with bzip2 are read in blocks of ``block_bytes``, by default of
+    the session's ``spark.sql.files.maxPartitionBytes``, each by a task.  A missing path gives no rows.
     """
     try:
         lines = read_lines(spark, path)
@@ -143,6 +178,14 @@ def read_arrays(spark: SparkSession, path: str, block_bytes: int | None = None)
     try:
         if block_bytes:
             spark.conf.set(name, str(block_bytes))
-        return split_arrays(lines).select("raw_json")  # the lines are read and written here
+        indents = _indents(lines)
+        # The driver gets the names of the files, which it also lists to read them.
+        groups = indents.groupBy("_indent").agg(F.collect_list("_file").alias("files")).collect()
+        # The files are read and their parts written here.
+        found = [
+            _indented_records(_read(spark, path, files, lineSep=f"\n{indent}{{"), indents, indent) for indent, files in groups
+        ]
+        found.append(split_arrays(_read(spark, path, list(chain.from_iterable(files for _, files in groups)), False)))
     finally:
         spark.conf.set(name, before)
+    return reduce(DataFrame.unionAll, (records.select("raw_json") for records in found))

@@ -153,6 +153,12 @@ def _parsed(documents: DataFrame) -> DataFrame:
     return documents.select("raw_json", F.inline(F.transform(F.transform(F.array(doc), _timed), _judged)))
 
 
+def judge(documents: DataFrame) -> DataFrame:
+    """All documents, typed where they parse, with the reason of those that do not: one parse
+    for :func:`rehydrate` and :func:`issue_quarantine` together."""
+    return _parsed(documents).select("raw_json", F.col("_doc").dropFields(_CORRUPT).alias("issue"), "reason")
+
+
 def rehydrate(documents: DataFrame) -> DataFrame:
     """Typed issue documents; the ones that do not parse are left out."""
     valid = _parsed(documents).where(F.col("reason").isNull())
