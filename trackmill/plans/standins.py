@@ -6,11 +6,13 @@ constants are the same views as common table expressions.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmill.session import durable
-
 # Fixed reference times instead of the clock: end of the orders and of the events.
 ORDERS_AS_OF = "2001-08-01 00:00:00"
 EVENTS_AS_OF = "2024-01-31 00:00:00"
@@ -38,8 +40,11 @@ flat_issues AS (
 
 def flat_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Issues as far as ``orders`` alone describes them."""
+    return _flat(table(spark, sf_dir, "orders"))
+
+
+def _flat(orders: DataFrame, *more: str) -> DataFrame:
     price = F.col("o_totalprice")
-    orders = table(spark, sf_dir, "orders")
     return orders.select(
         F.col("o_orderkey").cast("string").alias("id"),
         "o_custkey",
@@ -47,6 +52,7 @@ def flat_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("priority_name"),
         F.when(price >= 300000, "Epic").when(price >= 100000, "Story").otherwise("Task").alias("issue_type_name"),
         F.col("o_orderdate").alias("created"),
+        *more,
     )
 
 
@@ -67,10 +73,12 @@ def owned_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One segment stands for issues without a project, a negative balance for unassigned.
     """
-    customers = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "c_acctbal"
-    )
-    return flat_issues(spark, sf_dir).join(customers, "o_custkey").select(
+    return _owned(flat_issues(spark, sf_dir), table(spark, sf_dir, "customer"))
+
+
+def _owned(flat: DataFrame, customers: DataFrame, *more: str) -> DataFrame:
+    customers = customers.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment", "c_acctbal")
+    return flat.join(customers, "o_custkey").select(
         "id",
         F.concat_ws("-", "c_mktsegment", "id").alias("issue_key"),
         F.concat(F.lit("Order "), "id", F.lit(" placed by "), "c_name").alias("summary"),
@@ -79,6 +87,7 @@ def owned_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("reporter_display_name"),
         F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("assignee_display_name"),
         "created",
+        *more,
     )
 
 
@@ -242,15 +251,26 @@ def _user(name: Column) -> Column:
 
 
 def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every issue as the JSON a tracker would land.
+    """Every issue as the JSON a tracker would land."""
+    return issue_rows(spark, sf_dir).select(issue_document().alias("raw_json"))
+
+
+def issue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What :func:`issue_document` makes documents of, a fraction of their size: what has to move
+    moves as rows.  Orders meet their lines before their customers, by number and without names."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+    orders = table(spark, sf_dir, "orders").join(lines.agg(F.max("l_shipdate").alias("changed")), "o_orderkey", "left")
+    rows = _owned(_flat(orders, "changed"), table(spark, sf_dir, "customer"), "changed")
+    updated = F.when(F.col("changed").isNotNull(), F.greatest("created", "changed"))
+    return rows.withColumn("updated", updated).drop("changed")
+
+
+def issue_document() -> Column:
+    """The JSON of one of :func:`issue_rows`.
 
     An issue without any change has no ``updated`` and so does not parse.  Descriptions
     of open issues are rich text, the others plain.
     """
-    issues = owned_issues(spark, sf_dir)
-    rows = issues.join(last_changes(spark, sf_dir), "id", "left")
-    updated = F.greatest("created", "changed")
-    rows = rows.withColumn("updated", F.when(F.col("changed").isNotNull(), updated))
     name = F.col("reporter_display_name")
     rich = F.to_variant_object(F.struct(F.lit("doc").alias("type"), F.col("summary").alias("text")))
     plain = F.concat(F.lit("About "), "summary").cast("variant")
@@ -279,23 +299,49 @@ def issue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     address = F.concat(F.lit("https://tracker.example/issue/"), "id")
     document = F.struct("id", F.col("issue_key").alias("key"), address.alias("self"), fields.alias("fields"))
-    return rows.select(F.to_json(document).alias("raw_json"))
+    return F.to_json(document)
+
+
+def _paged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of a partition by their page, whose numbers rise: one row for each page."""
+    page, held = None, []
+
+    def gathered() -> pa.RecordBatch:
+        there = [text for texts in held for text in texts.to_pylist() if text is not None]
+        return pa.RecordBatch.from_pydict({
+            "_page": pa.array([page], pa.int64()), "_count": pa.array([len(there)], pa.int32()),
+            "_issues": pa.array([",".join(there)], pa.string()),
+        })
+
+    for batch in batches:
+        numbers, texts = batch.column("_page").to_numpy(), batch.column("raw_json")
+        cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            if start == end:
+                continue
+            if held and numbers[start] != page:
+                yield gathered()
+                held = []
+            page = int(numbers[start])
+            held.append(texts.slice(start, end - start))
+    if held:
+        yield gathered()
 
 
 def result_pages(documents: DataFrame, size: int) -> DataFrame:
     """Documents gathered into search pages, ``size`` to a page.
 
-    Serial numbers inside a partition are dense, so a page never holds more than that, and
-    the checkpoint keeps them the same if a task runs again.
+    Serial numbers inside a partition are dense, so a page never holds more than that.  The
+    documents of a page follow one another in a task, which gathers them where they are made:
+    their text is neither kept nor sent anywhere.
     """
     serial = F.monotonically_increasing_id()
-    numbered = durable(documents).select("raw_json", F.floor(serial / F.lit(size)).alias("_page"))
-    pages = numbered.groupBy("_page").agg(F.collect_list("raw_json").alias("_issues"))
-    joined = F.concat(F.lit("["), F.array_join("_issues", ","), F.lit("]"))
+    numbered = documents.select("raw_json", F.floor(serial / F.lit(size)).alias("_page"))
+    pages = numbered.mapInArrow(_paged, "_page bigint, _count int, _issues string")
     return pages.select(F.concat(
         F.lit('{"startAt":'), (F.col("_page") * size).cast("string"),
-        F.lit(f',"maxResults":{size},"total":'), F.size("_issues").cast("string"),
-        F.lit(',"issues":'), joined, F.lit("}"),
+        F.lit(f',"maxResults":{size},"total":'), F.col("_count").cast("string"),
+        F.lit(',"issues":['), "_issues", F.lit("]}"),
     ).alias("value"))
 
 
