@@ -1,6 +1,7 @@
 """What landed documents take on disk, beside their text; every test builds its own tables."""
 
 import json
+from collections import Counter
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -8,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from trackmill.plans import standins
+from trackmill.plans import landing_queries, standins
 from trackmill.session import shared_root
+from trackmill.sources import arrays
 
 ORDERS = 3000
 TABLES = {
@@ -73,3 +75,43 @@ def test_arrays_land_in_a_fraction_of_their_text(spark, sf_dir):
     counts = {row["kind"]: row["n"] for row in driver.queries()["q_s2_array"](spark, sf_dir).collect()}
     assert counts == {"read": ORDERS - ORDERS // 10 + 1, "broken": ORDERS // 10 + 2}
     assert 0 < (held(spark) - before) * 5 < text_of(spark, sf_dir)
+
+
+def test_array_files_land_in_waves(spark, sf_dir, monkeypatch):
+    """Seven files in four waves, of which only the last is still there, plain and read in blocks; every document is judged."""
+    for name, value in {"RECORDS": 500, "WAVE": 2, "BLOCK_BYTES": 20_000}.items():
+        monkeypatch.setattr(landing_queries, name, value, raising=False)
+    scratch = Path(shared_root(spark).removeprefix("file:")) / "scratch"
+    there = {*scratch.glob("array-*")} if scratch.exists() else set()
+    found = Counter(map(tuple, driver.queries()["q_s2_split"](spark, sf_dir).collect()))
+    outcomes = {str(i): "read" if i % 10 else "missing or malformed fields.updated" for i in range(ORDERS)}
+    outcomes |= {str(i): "malformed document" for i in range(7, ORDERS, 1000)}
+    expected = Counter(outcomes.items()) + Counter([("5", "read"), ("Task", "missing or malformed id"), ('last, [of all] "{', "missing or malformed key")])
+    assert found == expected
+    landed = [file for path in {*scratch.glob("array-*")} - there for file in path.glob("part-*") if file.suffix != ".parquet"]
+    assert len(landed) == 2 and all(file.suffix == ".txt" for file in landed)
+    assert sum(file.stat().st_size for file in landed) * 2 < text_of(spark, sf_dir)
+    blocks = arrays.read_arrays(spark, str(landed[0].parent), 20_000)
+    assert 500 < blocks.count() < 1500
+
+
+def test_whole_records_are_read_as_by_their_pieces(spark, tmp_path, monkeypatch):
+    """One look at a record's text gives what its pieces give, whatever lies in or behind it."""
+    deep = '{"a": ' * 9 + "1" + "}" * 9
+    bodies = ['{\n    "a" : 1\n  }', '{"a": "}, {\\""}', '{\n\n    "a": 1\n   \n  }  ', '{"a": 1}} ', '{"a": [1}', deep, '{"a": 1} x', '{"a": 1}, {"b": 2}', "{", '{"a": "', "{}\n \n"]
+    for name, indent in (("blanks", "  "), ("tab", "\t"), ("both", " \t ")):
+        (tmp_path / name).write_text("[\n" + ",\n".join(indent + body for body in bodies) + "\n]")
+    found = sorted(row["raw_json"] for row in arrays.read_arrays(spark, str(tmp_path)).collect())
+    monkeypatch.setattr(arrays, "WHOLE", r"(?!)()", raising=False)
+    assert found == sorted(row["raw_json"] for row in arrays.read_arrays(spark, str(tmp_path)).collect())
+    assert found.count('{\n    "a" : 1\n  }') == 1 and found.count('{"a": "}, {\\""}') == 1 and found.count("{}") == 1
+
+
+def test_readers_may_share_what_they_overwrite(spark, tmp_path):
+    """Also for lines of files that do not indent their records."""
+    for folder in ("one", "two"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "indented").write_text(json.dumps([{"id": folder}] * 3, indent=2))
+        (tmp_path / folder / "line").write_text(json.dumps([{"id": folder}] * 2))
+        found = arrays.read_arrays(spark, str(tmp_path / folder), None, str(tmp_path / "scratch")).collect()
+        assert [json.loads(row["raw_json"]) for row in found] == [{"id": folder}] * 5

@@ -22,7 +22,9 @@ from trackmill.plans.standins import (
     ISSUES_SQL,
     changelog_documents,
     history,
+    issue_document,
     issue_documents,
+    issue_rows,
     owned_issues,
     result_pages,
     table,
@@ -216,23 +218,31 @@ def s2_array(spark, sf_dir):
     )
 
 
-def array_files(documents, path, files):
-    """Documents as pretty-printed arrays, dealt over so many files, each written by a task and
-    compressed so that its blocks can be read apart.  Of every thousandth the last bracket is
-    missing; the first file has one more, of another kind, and the others end in a comma."""
-    typed = F.from_json("raw_json", ISSUE_DOCUMENT)
-    text = F.regexp_replace(F.to_json(typed, {"pretty": "true"}), "(?m)^", "  ")
-    cut = F.get_json_object("raw_json", "$.id").cast("long") % 1000 == 7
-    text = F.concat(F.when(cut, F.regexp_replace(text, r"\}\s*$", "")).otherwise(text), F.lit(","))
+# Records of an array file, some; array files of a wave; and the text of a block: as much as 64 KB of bzip2 held.
+RECORDS, WAVE, BLOCK_BYTES = 50_000, 24, 3 << 20
+
+
+def array_files(documents, path, files, document=None, first=0, compression="bzip2"):
+    """Documents as pretty-printed arrays, dealt over so many files, each written by a task over what
+    is at the path, plain or compressed so that its blocks can be read apart.  The rows are dealt before ``document``
+    makes text of them, by default their ``raw_json``.  Of every thousandth the last bracket is
+    missing; the first file, numbered 0, has one more, of another kind, and the others end in a comma."""
     numbers = documents.sparkSession.range(files).withColumn("file", F.col("id").cast("int"))
-    last = F.when(F.col("file") == 0, '  {\n    "id" : "last, [of all] \\"{"\n  }\n]').otherwise("]")
-    around = [numbers.select("file", F.lit(0).alias("at"), F.lit("[").alias("raw_json")),
-              numbers.select("file", F.lit(2).alias("at"), last.alias("raw_json"))]
-    file = F.pmod(F.xxhash64("raw_json"), F.lit(files)).cast("int")
-    parts = documents.select(file.alias("file"), F.lit(1).alias("at"), "raw_json").union(around[0]).union(around[1])
+    last = F.when(F.col("file") + first == 0, '  {\n    "id" : "last, [of all] \\"{"\n  }\n]').otherwise("]")
+    around = [numbers.select("file", F.lit(0).alias("at"), F.lit("[").alias("around")),
+              numbers.select("file", F.lit(2).alias("at"), last.alias("around"))]
+    file = F.pmod(F.xxhash64(*documents.columns), F.lit(files)).cast("int")
+    parts = documents.select("*", file.alias("file"), F.lit(1).alias("at"))
+    for rows in around:
+        parts = parts.unionByName(rows, allowMissingColumns=True)
     dealt = parts.repartitionById(files, F.col("file")).sortWithinPartitions("at")
-    lines = dealt.select(F.when(F.col("at") == 1, text).otherwise(F.col("raw_json")).alias("value"))
-    lines.write.option("compression", "bzip2").text(path)
+    made = dealt.select("at", "around", (F.col("raw_json") if document is None else document).alias("raw_json"))
+    text = F.to_json(F.from_json("raw_json", ISSUE_DOCUMENT), {"pretty": "true"})
+    text = F.concat(F.lit("  "), F.replace(text, F.lit("\n"), F.lit("\n  ")))
+    cut = F.get_json_object("raw_json", "$.id").cast("long") % 1000 == 7
+    text = F.concat(F.when(cut, F.regexp_replace(text, r"\}\s*$", "")).otherwise(text), F.lit(","))
+    lines = made.select(F.when(F.col("at") == 1, text).otherwise(F.col("around")).alias("value"))
+    lines.write.mode("overwrite").option("compression", compression).text(path)
 
 
 @query("q_s2_split", f"""WITH {ISSUES_SQL}, marked AS (
@@ -240,14 +250,27 @@ def array_files(documents, path, files):
 SELECT id, CASE WHEN cut THEN 'malformed document' WHEN changed THEN 'read' ELSE 'missing or malformed fields.updated' END AS outcome
 FROM marked UNION ALL SELECT 'last, [of all] "{{', 'missing or malformed key'""")
 def s2_split(spark, sf_dir):
-    """Array files of some 50,000 records, each read in blocks by many tasks; records cut off spoil no other."""
-    path = scratch_path(spark, "array")
-    files = table(spark, sf_dir, "orders").count() // 50_000 + 1
-    array_files(issue_documents(spark, sf_dir), path, files)
-    judged = landing.judge(arrays.read_arrays(spark, path, block_bytes=64 << 10))
-    own = F.regexp_replace(F.regexp_extract("raw_json", r'"id" : "((?:[^"\\]|\\.)*)"', 1), r'\\"', '"')
-    id_ = F.when(F.col("reason").isNull(), F.col("issue.id")).otherwise(own)
-    return judged.select(id_.alias("id"), F.coalesce("reason", F.lit("read")).alias("outcome"))
+    """Array files of some 50,000 records, each read in blocks by many tasks; records cut off spoil no other.
+
+    The files land and are read in waves, each over the one before: as plain text all together would be many times
+    the tables, and compressed so that they can be split they take many times as long."""
+    path, stored, outcomes = (scratch_path(spark, label) for label in ("array", "array-rows", "array-outcomes"))
+    files = table(spark, sf_dir, "orders").count() // RECORDS + 1
+    waves = -(-files // WAVE)
+    rows = issue_rows(spark, sf_dir)
+    rows = rows.withColumn("wave", F.pmod(F.hash(*rows.columns), F.lit(waves)))
+    rows.write.partitionBy("wave").option("compression", "zstd").parquet(stored)
+    rows = spark.read.schema(rows.schema).parquet(stored)
+    for wave in range(waves):
+        first, end = files * wave // waves, files * (wave + 1) // waves
+        landed = rows.where(F.col("wave") == wave).drop("wave")
+        array_files(landed, path, end - first, issue_document(), first, "none")
+        judged = landing.judge(arrays.read_arrays(spark, path, BLOCK_BYTES, f"{path}-parts"))
+        own = F.regexp_replace(F.regexp_extract("raw_json", r'"id" : "((?:[^"\\]|\\.)*)"', 1), r'\\"', '"')
+        id_ = F.when(F.col("reason").isNull(), F.col("issue.id")).otherwise(own)
+        judged = judged.select(id_.alias("id"), F.coalesce("reason", F.lit("read")).alias("outcome"))
+        judged.write.mode("append").parquet(outcomes)
+    return spark.read.parquet(outcomes)
 
 
 @query("q_search_users", """SELECT c_custkey, c_name FROM customer

@@ -32,6 +32,9 @@ STRING = r'"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"?+'
 TOKEN = STRING + r'|[\[\]{},]|[^"\[\]{},]+'
 # A value in brackets with up to seven more levels in it.
 CLOSED = reduce(lambda inner, _: rf'[\[{{](?:[^"\[\]{{}}]++|{STRING}|{inner})*+[\]}}]', range(8), r"(?!)")
+# A record with what parts it from the next, and a line without a record's text.
+WHOLE = rf"\A *+([\t]*+{CLOSED})[ \n]*+,?[ \n]*+\z"
+BLANK = r"\n *+\n"
 # --- end of fixed values ---
 
 BLOCK = ["_file", "_block"]
@@ -53,10 +56,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path)
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """Rows written once, compressed; serial numbers among them stay as they are."""
-    path = scratch_path(df.sparkSession, "array-parts")
-    df.write.option("compression", "zstd").parquet(path)
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """Rows written once, compressed, over what is there; serial numbers among them stay as they are."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -70,7 +72,8 @@ def _indents(lines: DataFrame) -> DataFrame:
     """For each file the blanks before its first record, where a line begins with it and is
     indented, and how many lines begin like that: one row per file."""
     indent = F.regexp_extract("value", r"^([ \t]+)\{", 1)
-    places = lines.where(F.col("value").rlike(r"^[ \t]+\{")).groupBy("_file", indent.alias("_indent")).agg(
+    begins = F.col("value").contains("{") & F.col("value").rlike(r"^[ \t]+\{")  # few lines hold a bracket
+    places = lines.where(begins).groupBy("_file", indent.alias("_indent")).agg(
         F.min(F.struct("_block", "_line")).alias("_place"), F.count("*").alias("_begin")
     )
     return durable(places.groupBy("_file").agg(F.min(F.struct("_place", "_indent", "_begin")).alias("_first")).select(
@@ -102,7 +105,12 @@ def _pieces(tokens: Column, depth: Column) -> Column:
     return F.aggregate(tokens, start, step, lambda state: F.concat(state["done"], F.array(state["open"])))
 
 
-def _indented_records(text: DataFrame, indents: DataFrame, indent: str) -> DataFrame:
+def _clean(text: Column) -> Column:
+    """A record's text without blank lines."""
+    return F.trim(F.array_join(F.filter(F.split(text, "\n"), lambda line: F.trim(line) != ""), "\n"))
+
+
+def _indented_records(text: DataFrame, indents: DataFrame, indent: str, scratch: str) -> DataFrame:
     """The records of files that indent them, from the parts between the lines that begin one."""
     # Lines may also end in a carriage return, which parts no text yet.
     split = F.split(F.regexp_replace("value", "\r\n?", "\n"), rf"\n{indent}\{{")
@@ -110,7 +118,7 @@ def _indented_records(text: DataFrame, indents: DataFrame, indent: str) -> DataF
     begin = F.lit(indent + "{")
     parts = _written(text.select(*BLOCK, "_line", F.posexplode(split).alias("_at", "_part")).withColumn(
         "_begins", F.col("_part").startswith(begin)
-    ))
+    ), scratch)
     place = F.struct("_block", "_line", "_at")
     heads = parts.groupBy("_file").agg(F.min(F.struct(place.alias("_head"), "_begins")).alias("_first"), F.count("*").alias("_n"))
     heads = heads.select("_file", "_first._head", "_first._begins", "_n")
@@ -120,24 +128,32 @@ def _indented_records(text: DataFrame, indents: DataFrame, indent: str) -> DataF
     texts = found.select(
         "_file", F.when(F.col("_cut"), F.concat(begin, "_part")).otherwise(F.col("_part")).alias("_text"),
         (F.col("_cut") | F.col("_begins")).alias("_begun"),
-    ).withColumn("_closed", _tokens(F.col("_text"), f"{CLOSED}|{TOKEN}"))
+    )
+    # Most parts are a record and a comma: one look at the text, and its pieces are known.
+    whole = F.when(F.col("_begun") & ~F.col("_text").rlike(BLANK), F.regexp_extract("_text", WHOLE, 1))
+    texts = texts.withColumn("_whole", F.nullif(whole, F.lit("")))
+    closed = F.when(F.col("_whole").isNull(), _tokens(F.col("_text"), f"{CLOSED}|{TOKEN}"))
+    texts = texts.withColumn("_closed", closed)
     # From depth 1 on, a value in brackets is one token where no bracket is left that closes more.
     plain = F.col("_begun") & ~F.arrays_overlap("_closed", F.array(F.lit("]"), F.lit("}")))
     tokens = F.when(plain, F.col("_closed")).otherwise(_tokens(F.col("_text"), TOKEN))
-    pieces = texts.select("_file", F.explode(_pieces(tokens, F.col("_begun").cast("int"))).alias("_piece"))
+    pieces = F.transform(_pieces(tokens, F.col("_begun").cast("int")), _clean)
+    found = texts.select("_file", F.explode(
+        F.when(F.col("_whole").isNotNull(), F.array("_whole")).otherwise(pieces)
+    ).alias("raw_json"))
     # A file that ends where a record begins has no part behind that.
     begun = F.col("_n") - 1 + F.col("_begins").cast("int")
-    ended = heads.join(indents, "_file").where(F.col("_begin") > begun).select("_file", begin.alias("_piece"))
-    whole = F.filter(F.split("_piece", "\n"), lambda line: F.trim(line) != "")
-    records = pieces.unionAll(ended).select(F.col("_file").alias("file"), F.trim(F.array_join(whole, "\n")).alias("raw_json"))
+    ended = heads.join(indents, "_file").where(F.col("_begin") > begun).select("_file", _clean(begin).alias("raw_json"))
+    records = found.unionAll(ended).select(F.col("_file").alias("file"), "raw_json")
     return records.where(F.col("raw_json") != "")
 
 
-def split_arrays(lines: DataFrame) -> DataFrame:
+def split_arrays(lines: DataFrame, scratch: str | None = None) -> DataFrame:
     """The records of the arrays as ``raw_json`` with their ``file``, by depth alone; ``lines`` as
     from :func:`read_lines`.  Text that is no part of an array's records is one more record, which
     then fails to parse."""
-    marked = _written(lines.select(*BLOCK, "_line", "value", _opened(F.col("value")).alias("_opened")))
+    scratch = scratch or scratch_path(lines.sparkSession, "array-lines")
+    marked = _written(lines.select(*BLOCK, "_line", "value", _opened(F.col("value")).alias("_opened")), f"{scratch}/marked")
     above = W.partitionBy(*BLOCK).orderBy("_line").rowsBetween(W.unboundedPreceding, -1)
     earlier = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     starts = marked.groupBy(*BLOCK).agg(F.sum("_opened").alias("_sum"))
@@ -145,7 +161,7 @@ def split_arrays(lines: DataFrame) -> DataFrame:
     placed = marked.withColumn("_above", F.coalesce(F.sum("_opened").over(above), F.lit(0)))
     cut = _written(placed.join(starts, BLOCK).select(
         *BLOCK, "_line", _pieces(_tokens(F.col("value"), TOKEN), F.col("_depth_before") + F.col("_above")).alias("_pieces")
-    ))
+    ), f"{scratch}/cut")
     # A record's number: commas before it, summed like depths.
     commas = cut.groupBy(*BLOCK).agg(F.sum(F.size("_pieces") - 1).alias("_commas"))
     commas = commas.select(*BLOCK, F.coalesce(F.sum("_commas").over(earlier), F.lit(0)).alias("_commas_before"))
@@ -161,11 +177,13 @@ def split_arrays(lines: DataFrame) -> DataFrame:
     return records.select(F.col("_file").alias("file"), F.trim("raw_json").alias("raw_json"))
 
 
-def read_arrays(spark: SparkSession, path: str, block_bytes: int | None = None) -> DataFrame:
+def read_arrays(spark: SparkSession, path: str, block_bytes: int | None = None, scratch: str | None = None) -> DataFrame:
     """The records of pretty-printed arrays, one array per file, as ``raw_json``.
 
     Files that are uncompressed or compressed with bzip2 are read in blocks of ``block_bytes``, by default of
     the session's ``spark.sql.files.maxPartitionBytes``, each by a task.  A missing path gives no rows.
+    What is written between the steps goes to ``scratch``, by default a fresh path; a reader that names the same
+    one again overwrites it, and must be done with the records of before.
     """
     try:
         lines = read_lines(spark, path)
@@ -173,6 +191,7 @@ def read_arrays(spark: SparkSession, path: str, block_bytes: int | None = None)
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "raw_json string")
+    scratch = scratch or scratch_path(spark, "array-parts")
     name = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(name)
     try:
@@ -183,9 +202,12 @@ def read_arrays(spark: SparkSession, path: str, block_bytes: int | None = None)
         groups = indents.groupBy("_indent").agg(F.collect_list("_file").alias("files")).collect()
         # The files are read and their parts written here.
         found = [
-            _indented_records(_read(spark, path, files, lineSep=f"\n{indent}{{"), indents, indent) for indent, files in groups
+            _indented_records(_read(spark, path, files, lineSep=f"\n{indent}{{"), indents, indent, f"{scratch}/parts-{n}")
+            for n, (indent, files) in enumerate(groups)
         ]
-        found.append(split_arrays(_read(spark, path, list(chain.from_iterable(files for _, files in groups)), False)))
+        indented = list(chain.from_iterable(files for _, files in groups))
+        if not found or len(lines.inputFiles()) > len(indented):
+            found.append(split_arrays(_read(spark, path, indented, False), f"{scratch}/lines"))
     finally:
         spark.conf.set(name, before)
     return reduce(DataFrame.unionAll, (records.select("raw_json") for records in found))
