@@ -218,8 +218,8 @@ def s2_array(spark, sf_dir):
     )
 
 
-# Records of an array file, some; array files of a wave; and the text of a block: as much as 64 KB of bzip2 held.
-RECORDS, WAVE, BLOCK_BYTES = 50_000, 24, 3 << 20
+# Records of an array file, some; array files of a wave; and the text of a block, nine or ten of which are a file.
+RECORDS, WAVE, BLOCK_BYTES = 50_000, 24, 8 << 20
 
 
 def array_files(documents, path, files, document=None, first=0, compression="bzip2"):
@@ -237,9 +237,10 @@ def array_files(documents, path, files, document=None, first=0, compression="bzi
         parts = parts.unionByName(rows, allowMissingColumns=True)
     dealt = parts.repartitionById(files, F.col("file")).sortWithinPartitions("at")
     made = dealt.select("at", "around", (F.col("raw_json") if document is None else document).alias("raw_json"))
-    text = F.to_json(F.from_json("raw_json", ISSUE_DOCUMENT), {"pretty": "true"})
+    made = made.withColumn("typed", F.from_json("raw_json", ISSUE_DOCUMENT))
+    text = F.to_json("typed", {"pretty": "true"})
     text = F.concat(F.lit("  "), F.replace(text, F.lit("\n"), F.lit("\n  ")))
-    cut = F.get_json_object("raw_json", "$.id").cast("long") % 1000 == 7
+    cut = F.col("typed.id").cast("long") % 1000 == 7
     text = F.concat(F.when(cut, F.regexp_replace(text, r"\}\s*$", "")).otherwise(text), F.lit(","))
     lines = made.select(F.when(F.col("at") == 1, text).otherwise(F.col("around")).alias("value"))
     lines.write.mode("overwrite").option("compression", compression).text(path)

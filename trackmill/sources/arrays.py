@@ -32,9 +32,10 @@ STRING = r'"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"?+'
 TOKEN = STRING + r'|[\[\]{},]|[^"\[\]{},]+'
 # A value in brackets with up to seven more levels in it.
 CLOSED = reduce(lambda inner, _: rf'[\[{{](?:[^"\[\]{{}}]++|{STRING}|{inner})*+[\]}}]', range(8), r"(?!)")
-# A record with what parts it from the next, and a line without a record's text.
-WHOLE = rf"\A *+([\t]*+{CLOSED})[ \n]*+,?[ \n]*+\z"
-BLANK = r"\n *+\n"
+# A record with what parts it from the next; as CLOSED, with the text between two strings or brackets in one step.
+BETWEEN = r'[^"\[\]{}]*+'
+RECORD = reduce(lambda inner, _: rf"[\[{{]{BETWEEN}(?:(?:{STRING}|{inner}){BETWEEN})*+[\]}}]", range(8), r"(?!)")
+WHOLE = rf"\A *+(\t*+{RECORD})[ \n]*+,?[ \n]*+\z"
 # --- end of fixed values ---
 
 BLOCK = ["_file", "_block"]
@@ -121,7 +122,7 @@ def _indented_records(text: DataFrame, indents: DataFrame, indent: str, scratch:
     ), scratch)
     place = F.struct("_block", "_line", "_at")
     heads = parts.groupBy("_file").agg(F.min(F.struct(place.alias("_head"), "_begins")).alias("_first"), F.count("*").alias("_n"))
-    heads = heads.select("_file", "_first._head", "_first._begins", "_n")
+    heads = durable(heads.select("_file", "_first._head", "_first._begins", "_n"))
     # Before its first record a file has its array's bracket, unless it begins with the record.
     # One row per file; without the hint all parts are dealt by file before that is known.
     found = parts.join(F.broadcast(heads.select("_file", "_head")), "_file").select("_file", "_part", "_begins", (place != F.col("_head")).alias("_cut"))
@@ -130,17 +131,16 @@ def _indented_records(text: DataFrame, indents: DataFrame, indent: str, scratch:
         (F.col("_cut") | F.col("_begins")).alias("_begun"),
     )
     # Most parts are a record and a comma: one look at the text, and its pieces are known.
-    whole = F.when(F.col("_begun") & ~F.col("_text").rlike(BLANK), F.regexp_extract("_text", WHOLE, 1))
-    texts = texts.withColumn("_whole", F.nullif(whole, F.lit("")))
-    closed = F.when(F.col("_whole").isNull(), _tokens(F.col("_text"), f"{CLOSED}|{TOKEN}"))
+    texts = texts.withColumn("_whole", F.when(F.col("_begun"), F.regexp_extract("_text", WHOLE, 1)).otherwise(""))
+    closed = F.when(F.col("_whole") == "", _tokens(F.col("_text"), f"{CLOSED}|{TOKEN}"))
     texts = texts.withColumn("_closed", closed)
     # From depth 1 on, a value in brackets is one token where no bracket is left that closes more.
     plain = F.col("_begun") & ~F.arrays_overlap("_closed", F.array(F.lit("]"), F.lit("}")))
     tokens = F.when(plain, F.col("_closed")).otherwise(_tokens(F.col("_text"), TOKEN))
     pieces = F.transform(_pieces(tokens, F.col("_begun").cast("int")), _clean)
-    found = texts.select("_file", F.explode(
-        F.when(F.col("_whole").isNotNull(), F.array("_whole")).otherwise(pieces)
-    ).alias("raw_json"))
+    blank = F.col("_whole").contains("\n\n") | F.col("_whole").contains(" \n")
+    whole = F.array(F.when(blank, _clean(F.col("_whole"))).otherwise(F.col("_whole")))
+    found = texts.select("_file", F.explode(F.when(F.col("_whole") != "", whole).otherwise(pieces)).alias("raw_json"))
     # A file that ends where a record begins has no part behind that.
     begun = F.col("_n") - 1 + F.col("_begins").cast("int")
     ended = heads.join(indents, "_file").where(F.col("_begin") > begun).select("_file", _clean(begin).alias("raw_json"))
